@@ -1,0 +1,61 @@
+"""Order-free exact comparison of a Spark result with a DuckDB result."""
+
+import math
+from datetime import datetime
+
+import duckdb
+
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+
+_KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    return connection
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return ("nan",) if math.isnan(value) else value + 0.0
+    if isinstance(value, datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+def _rows(rows, order):
+    return sorted((tuple(_cell(row[i]) for i in order) for row in rows), key=repr)
+
+
+def differences(df, connection, sql: str) -> list[str]:
+    """Empty when names, types and all rows agree."""
+    relation = connection.sql(sql)
+    spark_types = {f.name: _KINDS[f.dataType.simpleString()] for f in df.schema.fields}
+    duck_types = dict(zip(relation.columns, map(str, relation.types)))
+    found = []
+    if spark_types != duck_types:
+        found.append(f"schema: {sorted(spark_types.items() ^ duck_types.items())}")
+    if set(spark_types) != set(duck_types):
+        return found
+    names = sorted(spark_types)
+    ours = _rows(df.collect(), [df.columns.index(n) for n in names])
+    theirs = _rows(relation.fetchall(), [relation.columns.index(n) for n in names])
+    if len(ours) != len(theirs):
+        found.append(f"rows: {len(ours)} and {len(theirs)}")
+    unequal = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    if unequal:
+        found.append(f"{len(unequal)} rows differ on {names}, first: {unequal[:2]}")
+    return found
