@@ -19,7 +19,7 @@ MISSING_TOKENS = [
 # Texts that switch a flag on.
 TRUE_WORDS = ["1", "true", "t", "yes", "y"]
 
-_INFINITY_WORDS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+_INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def strip(c: Column) -> Column:
@@ -43,8 +43,7 @@ def number(c: Column) -> Column:
     """
     text = c.cast("string")
     decimal_form = F.translate(text, "dDfFnNpPxX", "") == text
-    infinite = F.lower(strip(text)).isin(_INFINITY_WORDS)
-    return F.when(decimal_form | infinite, text.try_cast("double"))
+    return F.when(decimal_form | text.rlike(_INFINITY), text.try_cast("double"))
 
 
 def truthy(c: Column) -> Column:

@@ -5,8 +5,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Block lengths in seconds: 1 s, 16 s, 4 min, 68 min, 18 h, 12 d, 194 d.
-_BLOCK_SECONDS = [16**level for level in range(7)]
+# Time steps in seconds, coarsest first; the first one that all points lie on is used.
+_STEPS = [1800, 60, 1]
+# Block lengths in steps. With half-hour steps: 30 min, 8 h, 5 d, 85 d, 4 years.
+_FANOUT = 16
+_BLOCKS = [_FANOUT**level for level in range(5)]
+
+
+def _step(points: DataFrame, second: Column) -> Column:
+    """The coarsest time step that every point lies on, as a scalar subquery."""
+    chosen = F.lit(1)
+    for step in reversed(_STEPS):
+        chosen = F.when(F.max(F.pmod(second, F.lit(step))) == 0, step).otherwise(chosen)
+    return points.agg(chosen).scalar()
 
 
 def _span(first: Column, stop: Column) -> Column:
@@ -21,26 +32,23 @@ def _at_level(level: int):
 
 
 def _covering_blocks(start: Column, stop: Column) -> Column:
-    """The largest aligned blocks that together make up the seconds start .. stop-1."""
-    first = [F.ceil(start / length) for length in _BLOCK_SECONDS]
-    last = [F.floor(stop / length) for length in _BLOCK_SECONDS]
+    """The largest aligned blocks that together make up the steps start .. stop-1."""
+    first = [F.ceil(start / length) for length in _BLOCKS]
+    last = [F.floor(stop / length) for length in _BLOCKS]
     pieces = []
-    for level in range(len(_BLOCK_SECONDS)):
+    for level in range(len(_BLOCKS)):
         whole = _span(first[level], last[level])
-        if level + 1 < len(_BLOCK_SECONDS):
-            up_first, up_last = first[level + 1] * 16, last[level + 1] * 16
+        if level + 1 < len(_BLOCKS):
+            up_first, up_last = first[level + 1] * _FANOUT, last[level + 1] * _FANOUT
             edges = F.concat(_span(first[level], up_first), _span(up_last, last[level]))
             whole = F.when(up_first < up_last, edges).otherwise(whole)
         pieces.append(F.transform(whole, _at_level(level)))
     return F.concat(*pieces)
 
 
-def _blocks_around(second: Column) -> Column:
+def _blocks_around(step: Column) -> Column:
     return F.array(
-        *[
-            _at_level(level)(F.floor(second / length))
-            for level, length in enumerate(_BLOCK_SECONDS)
-        ]
+        *[_at_level(level)(F.floor(step / length)) for level, length in enumerate(_BLOCKS)]
     )
 
 
@@ -58,24 +66,38 @@ def best_covering(
 ) -> DataFrame:
     """For each point covered by a matching interval: the greatest `best` tuple, as columns.
 
-    Both ends are inclusive and count whole epoch seconds. Each interval is cut into a few dozen
+    Both ends are inclusive and count whole epoch seconds. Each interval is cut into a few
     aligned blocks and the best interval per (match, block) is kept, so the lookup table has one
-    row per block. A point lies in one block per level, hence seven unique lookups replace the
+    row per block. A point lies in one block per level, hence five unique lookups replace the
     join with every overlapping interval: work grows with points + intervals, also when one
     match value owns most of both. Spark decides by size whether the table is broadcast.
     """
+    step = _step(points, point_second)
     block_table = (
         intervals.select(
             interval_match.alias("_match"),
-            F.explode(_covering_blocks(first_second, last_second + 1)).alias("_at"),
+            F.ceil(first_second / step).alias("_from"),
+            (F.floor(last_second / step) + 1).alias("_stop"),
             F.struct(*best).alias("_best"),
         )
+        .filter(F.col("_from") < F.col("_stop"))
+        .select(
+            "_match",
+            F.explode(_covering_blocks(F.col("_from"), F.col("_stop"))).alias("_at"),
+            "_best",
+        )
         .groupBy("_match", "_at.level", "_at.block")
         .agg(F.max("_best").alias("_best"))
     )
-    lookups = points.select(
-        *point_keys, point_match.alias("_match"), F.explode(_blocks_around(point_second)).alias("_at")
-    ).select(*point_keys, "_match", "_at.*")
+    lookups = (
+        points.select(
+            *point_keys,
+            point_match.alias("_match"),
+            F.floor(point_second / step).alias("_step"),
+        )
+        .select(*point_keys, "_match", F.explode(_blocks_around(F.col("_step"))).alias("_at"))
+        .select(*point_keys, "_match", "_at.*")
+    )
     return (
         lookups.join(block_table, ["_match", "level", "block"])
         .groupBy(*point_keys)

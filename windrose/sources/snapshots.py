@@ -11,12 +11,12 @@ from windrose.schemas import (
     STATE_COLUMNS_WIDE,
     WINDOW_KEY_FORMAT,
 )
-from windrose.session import use_utc
+from windrose.session import prepare
 
 
 def read_snapshots(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
     """Landed documents under `path`; broken JSON fails the read."""
-    reader = use_utc(spark).read.schema(SNAPSHOT_SCHEMA).option("mode", "FAILFAST")
+    reader = prepare(spark).read.schema(SNAPSHOT_SCHEMA).option("mode", "FAILFAST")
     return reader.option("multiLine", multiline).json(path)
 
 

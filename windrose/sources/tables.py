@@ -14,7 +14,7 @@ from windrose.schemas import (
     OVERRIDE_SCHEMA,
     SILVER_SCHEMA,
 )
-from windrose.session import use_utc
+from windrose.session import prepare
 from windrose.sources.snapshots import window_key
 
 _FLAGS = ["on_ground", "is_stale_contact", "is_low_velocity"]
@@ -37,7 +37,7 @@ def write_partitions(df: DataFrame, path: str, column: str) -> None:
 
 def _read_partitions(spark: SparkSession, path: str, schema: T.StructType, column: str, kind):
     with_partition = T.StructType([*schema.fields, T.StructField(column, kind)])
-    return use_utc(spark).read.schema(with_partition).parquet(path)
+    return prepare(spark).read.schema(with_partition).parquet(path)
 
 
 def write_silver(silver: DataFrame, path: str) -> None:
@@ -51,7 +51,7 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 def read_silver_csv(spark: SparkSession, path: str) -> DataFrame:
     """Silver from CSV files: missing-value tokens become null, flags are read from text."""
-    raw = use_utc(spark).read.option("header", True).csv(path)
+    raw = prepare(spark).read.option("header", True).csv(path)
     require_columns(raw, GOLD_INPUT_COLUMNS, "Silver file")
     known = {f.name: f.dataType for f in SILVER_SCHEMA.fields}
     return raw.select(
@@ -79,7 +79,7 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
-    raw = use_utc(spark).read.option("header", True).csv(path)
+    raw = prepare(spark).read.option("header", True).csv(path)
     require_columns(raw, GOLD_COLUMNS, "Gold file")
     return conform(raw.select(*[csv_null(F.col(c)).alias(c) for c in raw.columns]), GOLD_SCHEMA)
 
@@ -107,4 +107,4 @@ def read_kpis(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_overrides(spark: SparkSession, path: str) -> DataFrame:
-    return use_utc(spark).read.schema(OVERRIDE_SCHEMA).parquet(path)
+    return prepare(spark).read.schema(OVERRIDE_SCHEMA).parquet(path)

@@ -10,7 +10,7 @@ from windrose.operators.upsert import upsert_kpis
 from windrose.plans.gold import gold_kpis
 from windrose.plans.silver import silver
 from windrose.schemas import SNAPSHOT_SCHEMA
-from windrose.session import use_utc
+from windrose.session import prepare
 from windrose.sources.snapshots import explode_states
 from windrose.sources.tables import read_silver, write_silver
 
@@ -114,7 +114,7 @@ def run_state_stream(
 def file_stream(
     spark: SparkSession, kind: str, schema: T.StructType, path: str, files_per_batch: int | None
 ) -> DataFrame:
-    reader = use_utc(spark).readStream.format(kind).schema(schema)
+    reader = prepare(spark).readStream.format(kind).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
