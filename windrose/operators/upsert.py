@@ -53,13 +53,16 @@ def upsert_kpis(
 def upsert_overrides(
     spark: SparkSession, rows: DataFrame, path: str, now: Column | None = None
 ) -> None:
-    """Merge checked override rows (with `ordinal`) into the override table."""
+    """Merge checked override rows (with `ordinal`) into the override table; one writer at a time.
+
+    The new table is staged before it replaces the old one, so no step reads what it overwrites.
+    """
     stamp = F.current_timestamp() if now is None else now
     if _exists(spark, path):
         target = read_overrides(spark, path)
     else:
         target = spark.createDataFrame([], OVERRIDE_SCHEMA)
-    merged = staged(merge_overrides(target, staged(rows, "override-rows"), stamp), "overrides")
+    merged = staged(merge_overrides(target, rows, stamp), "overrides")
     merged.write.mode("overwrite").parquet(path)
 
 

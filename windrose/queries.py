@@ -319,7 +319,7 @@ def override_range_violations(spark, folder):
 
 def override_upsert(spark, folder):
     """Two overlapping batches merged one after the other."""
-    rows = staged(overrides.checked_overrides(read_raw_overrides(spark, folder)), "override-rows")
+    rows = overrides.checked_overrides(read_raw_overrides(spark, folder))
     moments = read_raw_states(spark, folder).select(F.col("pos").alias("ordinal"), "ts")
     timed = rows.join(moments, "ordinal")
     batches = [
