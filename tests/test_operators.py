@@ -11,7 +11,7 @@ from windrose.operators.checks import require_columns, require_keyed
 from windrose.operators.frames import newest_rows, with_row_position, with_trailing_frames
 from windrose.operators.intervals import best_covering
 from windrose.operators.latest import latest_per_key
-from windrose.operators.upsert import upsert_kpis
+from windrose.operators.upsert import merge_kpis, upsert_kpis
 from windrose.schemas import GOLD_SCHEMA
 from windrose.session import new_path
 from windrose.sources.tables import read_kpis, write_partitions
@@ -161,6 +161,30 @@ def test_upsert_inserts_updates_and_keeps(spark):
         }
 
 
+def test_upsert_reads_only_touched_days(spark):
+    path = new_path(spark, "fact")
+    upsert_kpis(spark, kpi_rows(spark, [(24 * day, "X", day) for day in range(30)]), path)
+    rows = kpi_rows(spark, [(24 * 7, "X", 70), (24 * 9, "Y", 90)])
+    dated = rows.withColumn("window_date", F.to_date("window_start"))
+    merged = merge_kpis(read_kpis(spark, path), dated)
+    assert sorted(r.total_flights for r in merged.collect()) == [9, 70, 90]
+    execution = merged._jdf.queryExecution()
+    scans = list_scans(execution.executedPlan())
+    assert min(scans) == 3  # of 30 files: days 7 to 9
+
+
+def list_scans(plan):
+    """Files read by each parquet scan of an executed plan."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return list_scans(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return list_scans(plan.plan())
+    children = plan.children()
+    if plan.nodeName().startswith("Scan parquet"):
+        return [plan.metrics().apply("numFiles").value()]
+    return [n for i in range(children.size()) for n in list_scans(children.apply(i))]
+
+
 def test_upsert_of_nothing_changes_nothing(spark):
     path = new_path(spark, "fact")
     upsert_kpis(spark, kpi_rows(spark, [(0, "X", 1)]), path)

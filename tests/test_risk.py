@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from windrose.plans import risk, views
 from windrose.schemas import GOLD_SCHEMA, OVERRIDE_SCHEMA
+from windrose.session import staged
 
 T0 = datetime(2024, 1, 1)
 LONG = ("2024-01-01", "2024-02-01")
@@ -203,6 +204,15 @@ def test_views_answer_sql(spark):
     assert trend.count() == 70
 
 
+def test_country_filter_reaches_the_scan(spark):
+    stored = staged(zigzag(spark), "kpis")
+    views.register_views(spark, stored, events(spark))
+    trend = spark.sql("SELECT * FROM v_country_deep_dive_trend WHERE origin_country = 'X'")
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "origin_country" in line]
+    assert scans and all("EqualTo(origin_country,X)" in scan for scan in scans)
+
+
 def test_plan_shapes(spark):
     df, table = zigzag(spark), events(spark)
     plan = risk.country_disruption_risk(df, table)._jdf.queryExecution().executedPlan().toString()

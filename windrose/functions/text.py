@@ -19,7 +19,7 @@ MISSING_TOKENS = [
 # Texts that switch a flag on.
 TRUE_WORDS = ["1", "true", "t", "yes", "y"]
 
-_INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+_DECIMAL = r"(?i)^\s*[+-]?(inf(inity)?|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*$"
 
 
 def strip(c: Column) -> Column:
@@ -38,12 +38,11 @@ def csv_null(c: Column) -> Column:
 def number(c: Column) -> Column:
     """Text to double; anything that is not a decimal number or an infinity becomes null.
 
-    The cast also takes "nan" and Java's suffixed and hexadecimal forms ("1d", "0x1p3"); those
-    need one of the letters removed here, which no decimal number contains.
+    The cast alone would also take "nan" and Java's suffixed and hexadecimal forms ("1d",
+    "0x1p3").
     """
     text = c.cast("string")
-    decimal_form = F.translate(text, "dDfFnNpPxX", "") == text
-    return F.when(decimal_form | text.rlike(_INFINITY), text.try_cast("double"))
+    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
 
 
 def truthy(c: Column) -> Column:

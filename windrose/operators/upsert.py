@@ -8,7 +8,13 @@ from windrose.operators.checks import require_columns, require_keyed
 from windrose.plans.overrides import merge_overrides
 from windrose.schemas import GOLD_COLUMNS, GOLD_SCHEMA, KPI_KEY, KPI_SCHEMA, OVERRIDE_SCHEMA
 from windrose.session import staged
-from windrose.sources.tables import conform, read_kpis, read_overrides, write_partitions
+from windrose.sources.tables import (
+    conform,
+    in_partitions_of,
+    read_kpis,
+    read_overrides,
+    write_partitions,
+)
 
 _REQUIRED_KPIS = [f.name for f in GOLD_SCHEMA.fields if not f.nullable]
 
@@ -20,13 +26,10 @@ def _dated(kpis: DataFrame) -> DataFrame:
 def merge_kpis(target: DataFrame, rows: DataFrame) -> DataFrame:
     """The days of `target` that `rows` touches, with `rows` replacing equal keys.
 
-    Both sides carry `window_date`. The semi join on it prunes the scan of a partitioned target
-    to the touched days.
+    Both sides carry `window_date`, by which the target is partitioned.
     """
-    days = rows.select("window_date").distinct()
-    kept = target.join(days, "window_date", "left_semi").join(
-        rows.select(*KPI_KEY), KPI_KEY, "left_anti"
-    )
+    days = in_partitions_of(target, rows, "window_date")
+    kept = days.join(rows.select(*KPI_KEY), KPI_KEY, "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)
 
 

@@ -40,7 +40,7 @@ def clean_states(raw: DataFrame) -> DataFrame:
 def latest_per_vehicle(states: DataFrame) -> DataFrame:
     """The row with the latest contact per (window, vehicle); payload order breaks ties."""
     return latest_per_key(
-        states, ["window_start", "icao24"], [F.col("last_contact"), -F.col("pos")]
+        states, ["icao24", "window_start"], [F.col("last_contact"), -F.col("pos")]
     )
 
 

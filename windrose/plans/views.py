@@ -1,4 +1,7 @@
-"""The analyst products on top of the KPI fact, the risk model and the override table."""
+"""The analyst products on top of the KPI fact, the risk model and the override table.
+
+Each product is an unordered `*_view`, for SQL and further work, and a report in its usual order.
+"""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,63 +47,67 @@ def recommended_action() -> Column:
     return action.otherwise(ACTION_NONE)
 
 
+def global_risk_board_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
+    """All countries at the latest window."""
+    return at_latest_window(newest_risk(kpis, overrides), kpis).select(
+        "window_start",
+        "origin_country",
+        "total_flights",
+        _rounded("pct_grounded", 2),
+        _rounded("capacity_drop_pct", 2),
+        _rounded("avg_velocity_active", 2, "avg_velocity_active_ms"),
+        _rounded("stale_contact_rate", 2, "stale_contact_rate_pct"),
+        _rounded("low_velocity_rate", 2, "low_velocity_rate_pct"),
+        _rounded("data_completeness_score", 2),
+        _rounded("operational_stress_index", 2),
+        _rounded("telemetry_risk_zscore", 3),
+        _rounded("disruption_risk_zscore", 3),
+        _rounded("event_severity_score", 2),
+        "active_event_override",
+        "event_type",
+        "event_source",
+        "disruption_band",
+        recommended_action().alias("recommended_action"),
+    )
+
+
 def global_risk_board(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
-    """All countries at the latest window, gravest first."""
-    return (
-        at_latest_window(newest_risk(kpis, overrides), kpis)
-        .select(
-            "window_start",
-            "origin_country",
-            "total_flights",
-            _rounded("pct_grounded", 2),
-            _rounded("capacity_drop_pct", 2),
-            _rounded("avg_velocity_active", 2, "avg_velocity_active_ms"),
-            _rounded("stale_contact_rate", 2, "stale_contact_rate_pct"),
-            _rounded("low_velocity_rate", 2, "low_velocity_rate_pct"),
-            _rounded("data_completeness_score", 2),
-            _rounded("operational_stress_index", 2),
-            _rounded("telemetry_risk_zscore", 3),
-            _rounded("disruption_risk_zscore", 3),
-            _rounded("event_severity_score", 2),
-            "active_event_override",
-            "event_type",
-            "event_source",
-            "disruption_band",
-            recommended_action().alias("recommended_action"),
-        )
-        .orderBy(F.desc("disruption_risk_zscore"), F.desc("total_flights"))
+    """The board, gravest first."""
+    return global_risk_board_view(kpis, overrides).orderBy(
+        F.desc("disruption_risk_zscore"), F.desc("total_flights")
+    )
+
+
+def country_trend_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
+    """History of every country with six-row averages."""
+    return risk_with_moving_averages(kpis, overrides).select(
+        "window_start",
+        "origin_country",
+        "total_flights",
+        _rounded("flights_ma_6", 2),
+        _rounded("pct_grounded", 2),
+        _rounded("capacity_drop_pct", 2),
+        _rounded("avg_velocity_active", 2, "avg_velocity_active_ms"),
+        _rounded("stale_contact_rate", 2, "stale_contact_rate_pct"),
+        _rounded("data_completeness_score", 2),
+        _rounded("operational_stress_index", 2),
+        _rounded("stress_ma_6", 2),
+        _rounded("telemetry_risk_zscore", 3),
+        _rounded("disruption_risk_zscore", 3),
+        _rounded("event_severity_score", 2),
+        "active_event_override",
+        "event_type",
+        "event_source",
     )
 
 
 def country_trend(
     kpis: DataFrame, overrides: DataFrame, country: str | None = None
 ) -> DataFrame:
-    """History with six-row averages, newest first; one country or all."""
+    """The history of one country or all, newest first."""
     if country is not None:
         kpis = kpis.filter(F.col("origin_country") == country)
-    return (
-        risk_with_moving_averages(kpis, overrides)
-        .select(
-            "window_start",
-            "origin_country",
-            "total_flights",
-            _rounded("flights_ma_6", 2),
-            _rounded("pct_grounded", 2),
-            _rounded("capacity_drop_pct", 2),
-            _rounded("avg_velocity_active", 2, "avg_velocity_active_ms"),
-            _rounded("stale_contact_rate", 2, "stale_contact_rate_pct"),
-            _rounded("data_completeness_score", 2),
-            _rounded("operational_stress_index", 2),
-            _rounded("stress_ma_6", 2),
-            _rounded("telemetry_risk_zscore", 3),
-            _rounded("disruption_risk_zscore", 3),
-            _rounded("event_severity_score", 2),
-            "active_event_override",
-            "event_type",
-            "event_source",
-        )
-        .orderBy(F.desc("window_start"))
-    )
+    return country_trend_view(kpis, overrides).orderBy(F.desc("window_start"))
 
 
 def last_three_windows(newest: DataFrame) -> DataFrame:
@@ -137,10 +144,10 @@ def trend_signal() -> Column:
     )
 
 
-def worsening_risk(
+def worsening_risk_view(
     kpis: DataFrame, overrides: DataFrame, min_flights: int = MIN_TREND_FLIGHTS
 ) -> DataFrame:
-    """Stress change over each country's last windows; unknown changes sort first."""
+    """Stress change over each country's last windows."""
     return (
         last_three_windows(newest_risk(kpis, overrides, rows=3))
         .filter(F.col("latest_total_flights") >= min_flights)
@@ -156,7 +163,15 @@ def worsening_risk(
             _rounded("risk_z_t0", 3, "risk_z_now"),
             trend_signal().alias("trend_signal"),
         )
-        .orderBy(F.desc("risk_z_now"), F.desc_nulls_first("stress_delta_1_window"))
+    )
+
+
+def worsening_risk(
+    kpis: DataFrame, overrides: DataFrame, min_flights: int = MIN_TREND_FLIGHTS
+) -> DataFrame:
+    """The changes, highest risk first; unknown changes sort before known ones."""
+    return worsening_risk_view(kpis, overrides, min_flights).orderBy(
+        F.desc("risk_z_now"), F.desc_nulls_first("stress_delta_1_window")
     )
 
 
@@ -164,14 +179,11 @@ def impact_score() -> Column:
     return F.col("total_flights") * F.greatest(F.col("disruption_risk_zscore"), F.lit(0.0))
 
 
-def capacity_candidates(
-    kpis: DataFrame,
-    overrides: DataFrame,
-    min_flights: int = MIN_CAPACITY_FLIGHTS,
-    top: int | None = TOP_CANDIDATES,
+def capacity_candidates_view(
+    kpis: DataFrame, overrides: DataFrame, min_flights: int = MIN_CAPACITY_FLIGHTS
 ) -> DataFrame:
-    """Countries at the latest window by flights at risk; `top=None` keeps all of them."""
-    ranked = (
+    """Busy countries at the latest window with their flights at risk."""
+    return (
         at_latest_window(newest_risk(kpis, overrides), kpis)
         .filter(F.col("total_flights") >= min_flights)
         .select(
@@ -188,13 +200,25 @@ def capacity_candidates(
             _rounded("pct_grounded", 2),
             half_up(impact_score(), 2).alias("impact_score"),
         )
+    )
+
+
+def capacity_candidates(
+    kpis: DataFrame,
+    overrides: DataFrame,
+    min_flights: int = MIN_CAPACITY_FLIGHTS,
+    top: int = TOP_CANDIDATES,
+) -> DataFrame:
+    """The `top` countries by flights at risk; the name settles ties."""
+    return (
+        capacity_candidates_view(kpis, overrides, min_flights)
         .orderBy(F.desc("impact_score"), "origin_country")
+        .limit(top)
     )
-    return ranked if top is None else ranked.limit(top)
 
 
-def confidence_monitor(kpis: DataFrame) -> DataFrame:
-    """Data quality per window, newest first."""
+def confidence_monitor_view(kpis: DataFrame) -> DataFrame:
+    """Data quality per window."""
     return (
         kpis.groupBy("window_start")
         .agg(
@@ -210,12 +234,16 @@ def confidence_monitor(kpis: DataFrame) -> DataFrame:
             ),
             F.count("*").alias("total_countries_observed"),
         )
-        .orderBy(F.desc("window_start"))
     )
 
 
-def active_overrides(overrides: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Overrides in force at `as_of` (default: now), gravest first."""
+def confidence_monitor(kpis: DataFrame) -> DataFrame:
+    """The monitor, newest window first."""
+    return confidence_monitor_view(kpis).orderBy(F.desc("window_start"))
+
+
+def active_overrides_view(overrides: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Overrides in force at `as_of` (default: now)."""
     moment = F.current_timestamp() if as_of is None else as_of
     return (
         overrides.filter(
@@ -234,7 +262,13 @@ def active_overrides(overrides: DataFrame, as_of: Column | None = None) -> DataF
             "is_active",
             "updated_at",
         )
-        .orderBy(F.desc("severity_score"), F.desc("event_start_utc"))
+    )
+
+
+def active_overrides(overrides: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Overrides in force, gravest first."""
+    return active_overrides_view(overrides, as_of).orderBy(
+        F.desc("severity_score"), F.desc("event_start_utc")
     )
 
 
@@ -247,17 +281,17 @@ def register_views(
     spark: SparkSession, kpis: DataFrame, overrides: DataFrame, as_of: Column | None = None
 ) -> list[str]:
     """Make the two tables and the seven products available to SQL; returns their names."""
-    views = {
+    products = {
         "flight_kpis": kpis,
         "regional_event_overrides": overrides,
         "v_country_disruption_risk": country_disruption_risk(kpis, overrides),
-        "v_exec_global_risk_board_latest": global_risk_board(kpis, overrides),
-        "v_country_deep_dive_trend": country_trend(kpis, overrides),
-        "v_worsening_risk_detection": worsening_risk(kpis, overrides),
-        "v_capacity_allocation_candidates_latest": capacity_candidates(kpis, overrides, top=None),
-        "v_decision_confidence_monitor": confidence_monitor(kpis),
-        "v_active_event_overrides": active_overrides(overrides, as_of),
+        "v_exec_global_risk_board_latest": global_risk_board_view(kpis, overrides),
+        "v_country_deep_dive_trend": country_trend_view(kpis, overrides),
+        "v_worsening_risk_detection": worsening_risk_view(kpis, overrides),
+        "v_capacity_allocation_candidates_latest": capacity_candidates_view(kpis, overrides),
+        "v_decision_confidence_monitor": confidence_monitor_view(kpis),
+        "v_active_event_overrides": active_overrides_view(overrides, as_of),
     }
-    for name, view in views.items():
+    for name, view in products.items():
         view.createOrReplaceTempView(name)
-    return list(views)
+    return list(products)

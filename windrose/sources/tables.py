@@ -40,6 +40,16 @@ def _read_partitions(spark: SparkSession, path: str, schema: T.StructType, colum
     return prepare(spark).read.schema(with_partition).parquet(path)
 
 
+def in_partitions_of(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """Rows of a partitioned table in the partitions that `rows` has.
+
+    The range, two scalar subqueries, prunes the scan at run time; the semi join is exact.
+    """
+    first, last = (rows.agg(edge(column)).scalar() for edge in (F.min, F.max))
+    near = table.filter(F.col(column).between(first, last))
+    return near.join(rows.select(column).distinct(), column, "left_semi")
+
+
 def write_silver(silver: DataFrame, path: str) -> None:
     """One partition per window; writing a window again replaces it."""
     write_partitions(silver.withColumn("window_key", window_key(F.col("window_start"))), path, "window_key")

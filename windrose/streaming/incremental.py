@@ -3,7 +3,6 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windrose.operators.upsert import upsert_kpis
@@ -12,21 +11,22 @@ from windrose.plans.silver import silver
 from windrose.schemas import SNAPSHOT_SCHEMA
 from windrose.session import prepare
 from windrose.sources.snapshots import explode_states
-from windrose.sources.tables import read_silver, write_silver
+from windrose.sources.tables import in_partitions_of, read_silver, write_silver
 
 KEY = T.StructField("window_key", T.StringType())
 
 
-def refresh_windows(raw: DataFrame, silver_path: str, fact_path: str) -> None:
-    """Rebuild the windows found in `raw` rows: replace their silver, upsert their KPIs.
+def refresh_windows(
+    raw: DataFrame, changed: DataFrame, silver_path: str, fact_path: str
+) -> None:
+    """Rebuild the `changed` windows from their `raw` rows: replace silver, upsert KPIs.
 
-    `raw` holds whole windows. KPI rows of countries that a window no longer reports stay.
+    `raw` holds those windows whole. KPI rows of countries that a window no longer reports stay.
     """
     spark = raw.sparkSession
-    keys = raw.select(F.date_format("window_start", "yyyyMMdd_HHmmss").alias("window_key"))
     write_silver(silver(raw), silver_path)
-    touched = read_silver(spark, silver_path).join(keys.distinct(), "window_key", "left_semi")
-    upsert_kpis(spark, gold_kpis(touched), fact_path)
+    rebuilt = in_partitions_of(read_silver(spark, silver_path), changed, "window_key")
+    upsert_kpis(spark, gold_kpis(rebuilt), fact_path)
 
 
 def run_incremental(
@@ -45,9 +45,10 @@ def run_incremental(
     """
 
     def process(batch: DataFrame, _: int) -> None:
-        changed = batch.select("window_key").distinct()
+        changed = batch.select("window_key").distinct().persist()
         if not changed.isEmpty():
-            refresh_windows(read_windows(changed), silver_path, fact_path)
+            refresh_windows(read_windows(changed), changed, silver_path, fact_path)
+        changed.unpersist()
 
     (
         arrivals.writeStream.foreachBatch(process)
@@ -72,7 +73,7 @@ def run_snapshot_stream(
 
     def read_windows(changed: DataFrame) -> DataFrame:
         landed = spark.read.schema(schema).option("mode", "FAILFAST").json(bronze_path)
-        return explode_states(landed.join(changed, "window_key", "left_semi"))
+        return explode_states(in_partitions_of(landed, changed, "window_key"))
 
     arrivals = file_stream(spark, "json", schema, bronze_path, files_per_batch)
     run_incremental(
@@ -99,7 +100,7 @@ def run_state_stream(
 
     def read_windows(changed: DataFrame) -> DataFrame:
         landed = spark.read.schema(schema).parquet(raw_path)
-        return landed.join(changed, "window_key", "left_semi").drop("window_key")
+        return in_partitions_of(landed, changed, "window_key").drop("window_key")
 
     arrivals = file_stream(spark, "parquet", schema, raw_path, files_per_batch)
     run_incremental(
