@@ -17,7 +17,7 @@ from windrose.schemas import GOLD_COLUMNS, INGESTION_FIELD, SILVER_COLUMNS, SNAP
 from windrose.session import new_path
 from windrose.sources import snapshots as S
 from windrose.sources import tables
-from windrose.streaming.incremental import run_snapshot_stream
+from windrose.streaming.incremental import land_documents, run_snapshot_stream
 
 WINDOW = datetime(2024, 1, 1)
 EPOCH = 1704067200
@@ -270,3 +270,27 @@ def test_stream_equals_batch_and_replays_windows(spark, tmp_path):
     assert {r.icao24 for r in replaced.collect()} == {"a", "d"}
     run_snapshot_stream(spark, bronze, **places)
     assert len(kpis_of(spark, fact)) == 3
+
+
+def test_documents_land_once_and_the_last_received_wins(spark, tmp_path):
+    inbox, bronze, progress = (str(tmp_path / n) for n in ("inbox", "bronze", "progress"))
+
+    def landed():
+        land_documents(spark, inbox, bronze, progress)
+        rows = S.explode_states(S.read_snapshots(spark, bronze)).collect()
+        return sorted((r.window_start.minute, r.icao24) for r in rows)
+
+    first, second = "2024-01-01T00:00:00+00:00", "2024-01-01T00:30:00+00:00"
+    land(inbox, "a", [state("a")], first)
+    land(inbox, "b", [state("b")], second)
+    assert landed() == [(0, "a"), (30, "b")]
+    land(inbox, "c", [state("c")], first)
+    assert landed() == [(0, "c"), (30, "b")]
+    assert landed() == [(0, "c"), (30, "b")]
+
+    land(str(tmp_path / "both"), "early", [state("early")], first)
+    early = S.read_snapshots(spark, str(tmp_path / "both"))
+    shift = F.col(f"{INGESTION_FIELD}.received_at_utc") + F.expr("INTERVAL 1 HOUR")
+    late = early.withColumn(INGESTION_FIELD, F.col(INGESTION_FIELD).withField("received_at_utc", shift))
+    kept = S.latest_documents(early.withColumn("states", F.lit(None).cast("array<array<string>>")).union(late))
+    assert [len(r.states) for r in kept.collect()] == [1]

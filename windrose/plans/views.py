@@ -47,6 +47,11 @@ def recommended_action() -> Column:
     return action.otherwise(ACTION_NONE)
 
 
+def risk_history(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
+    """All risk rows, newest window first."""
+    return country_disruption_risk(kpis, overrides).orderBy(F.desc("window_start"))
+
+
 def global_risk_board_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
     """All countries at the latest window."""
     return at_latest_window(newest_risk(kpis, overrides), kpis).select(

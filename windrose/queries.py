@@ -10,10 +10,12 @@ from windrose.operators.upsert import upsert_kpis
 from windrose.plans import gold, overrides, risk, silver, views
 from windrose.schemas import (
     GOLD_SCHEMA,
+    INGESTION_FIELD,
     KPI_KEY,
     NUMERIC_STATE_COLUMNS,
     OVERRIDE_INPUT_COLUMNS,
     OVERRIDE_SCHEMA,
+    STATE_COLUMNS,
 )
 from windrose.session import new_path, staged
 from windrose.sources.event_feed import (
@@ -22,8 +24,21 @@ from windrose.sources.event_feed import (
     read_raw_overrides,
     read_raw_states,
 )
-from windrose.sources.snapshots import window_key, with_volume_flag
-from windrose.sources.tables import read_kpis, write_partitions
+from windrose.sources.override_files import read_override_csv, read_override_payload
+from windrose.sources.snapshots import (
+    explode_states,
+    read_snapshots,
+    window_key,
+    with_ingestion_metadata,
+    with_volume_flag,
+    write_snapshots,
+)
+from windrose.sources.tables import (
+    read_gold_csv,
+    read_kpis,
+    read_silver_csv,
+    write_partitions,
+)
 from windrose.streaming.incremental import run_state_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +50,8 @@ _LOADED_AT = "2024-02-01 00:00:00"
 _RELOADED_AT = "2024-02-02 00:00:00"
 _AS_OF = "2024-01-15 12:00:00"
 
+_STATES_PER_DOCUMENT = 5000
+
 _ADDED_LATER = ["p90_velocity_active", "low_velocity_rate", "climbing_flights"]
 
 
@@ -78,6 +95,77 @@ def _risk(spark: SparkSession, folder: str) -> DataFrame:
     return risk.country_disruption_risk(_kpis(spark, folder), _overrides(spark, folder))
 
 
+# --- Files ---
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw states as snapshot documents; `pos` is unique, so each holds a bounded number."""
+    raw = read_raw_states(spark, folder)
+    part = F.floor(F.col("pos") / _STATES_PER_DOCUMENT)
+    payloads = raw.groupBy("window_start", part.alias("part")).agg(
+        F.collect_list(F.array(*STATE_COLUMNS)).alias("states"),
+        F.unix_timestamp(F.max("ts")).alias("time"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
+    )
+    return with_ingestion_metadata(
+        payloads,
+        window_start=F.col("window_start"),
+        requested_at=F.col("first_ts"),
+        received_at=F.col("last_ts"),
+        http_status=F.lit(200),
+        authenticated=F.col("part") % 2 == 0,
+    )
+
+
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "bronze")
+    write_snapshots(_documents(spark, folder), path)
+    return read_snapshots(spark, path)
+
+
+def snapshot_states(spark, folder):
+    """Documents written to bronze, read back and exploded."""
+    return explode_states(_landed(spark, folder)).select("window_start", *STATE_COLUMNS)
+
+
+def snapshot_metadata(spark, folder):
+    record = F.col(f"{INGESTION_FIELD}.*")
+    flagged = with_volume_flag(_landed(spark, folder))
+    return flagged.select("time", record, "is_low_volume")
+
+
+def kpi_csv_round_trip(spark, folder):
+    """KPIs of silver that went through CSV files, themselves through CSV files."""
+    silver_path, gold_path = new_path(spark, "silver"), new_path(spark, "gold")
+    _silver(spark, folder).write.option("header", True).csv(silver_path)
+    kpis = gold.gold_kpis(read_silver_csv(spark, silver_path))
+    kpis.write.option("header", True).csv(gold_path)
+    return read_gold_csv(spark, gold_path)
+
+
+def _as_read(rows: DataFrame) -> DataFrame:
+    return overrides.parsed_overrides(rows).select(*OVERRIDE_INPUT_COLUMNS)
+
+
+def override_csv_scan(spark, folder):
+    path = new_path(spark, "overrides-csv")
+    raw = read_raw_overrides(spark, folder).select(*OVERRIDE_INPUT_COLUMNS)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.write.options(header=True, **keep).csv(path)
+    return _as_read(read_override_csv(spark, path))
+
+
+def override_payload_scan(spark, folder):
+    """Rows of JSON payload documents of a bounded number of rows, one document per file."""
+    path = new_path(spark, "overrides-json")
+    part = F.floor(F.col("ordinal") / _STATES_PER_DOCUMENT)
+    rows = F.collect_list(F.struct(*OVERRIDE_INPUT_COLUMNS)).alias("overrides")
+    documents = read_raw_overrides(spark, folder).groupBy(part).agg(rows)
+    documents.select(F.to_json(F.struct("overrides"))).write.option("maxRecordsPerFile", 1).text(path)
+    return _as_read(read_override_payload(spark, path))
+
+
 # --- Silver ---
 
 
@@ -400,6 +488,11 @@ def switched_on_overrides(spark, folder):
 
 
 QUERIES: dict[str, Query] = {
+    "snapshot_states": snapshot_states,
+    "snapshot_metadata": snapshot_metadata,
+    "kpi_csv_round_trip": kpi_csv_round_trip,
+    "override_csv_scan": override_csv_scan,
+    "override_payload_scan": override_payload_scan,
     "silver_key_normalise": silver_key_normalise,
     "silver_numeric_coercion": silver_numeric_coercion,
     "silver_boolean_coercion": silver_boolean_coercion,

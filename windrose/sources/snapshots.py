@@ -74,6 +74,16 @@ def observe_volume(
     )
 
 
+def latest_documents(snapshots: DataFrame) -> DataFrame:
+    """Of several documents for one window, those received last; documents are not shuffled."""
+    window, received = (
+        F.col(f"{INGESTION_FIELD}.{name}") for name in ("window_start_utc", "received_at_utc")
+    )
+    last = snapshots.groupBy(window.alias("_window")).agg(F.max(received).alias("_received"))
+    is_last = (F.col("_window") == window) & F.col("_received").eqNullSafe(received)
+    return snapshots.join(last, is_last, "left_semi")
+
+
 def write_snapshots(snapshots: DataFrame, path: str) -> None:
     """Land documents under one folder per window; landing a window again replaces it."""
     (

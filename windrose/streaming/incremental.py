@@ -10,7 +10,7 @@ from windrose.plans.gold import gold_kpis
 from windrose.plans.silver import silver
 from windrose.schemas import SNAPSHOT_SCHEMA
 from windrose.session import prepare
-from windrose.sources.snapshots import explode_states
+from windrose.sources.snapshots import explode_states, latest_documents, write_snapshots
 from windrose.sources.tables import in_partitions_of, read_silver, write_silver
 
 KEY = T.StructField("window_key", T.StringType())
@@ -59,6 +59,25 @@ def run_incremental(
     )
 
 
+def land_documents(spark: SparkSession, inbox: str, bronze_path: str, checkpoint: str) -> None:
+    """Move new document files from a flat folder into bronze, one folder per window, then stop.
+
+    A document for a window that is already in bronze replaces it.
+    """
+
+    def land(batch: DataFrame, _: int) -> None:
+        write_snapshots(latest_documents(batch), bronze_path)
+
+    (
+        file_stream(spark, "json", SNAPSHOT_SCHEMA, inbox, None)
+        .writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
 def run_snapshot_stream(
     spark: SparkSession,
     bronze_path: str,
@@ -115,7 +134,7 @@ def run_state_stream(
 def file_stream(
     spark: SparkSession, kind: str, schema: T.StructType, path: str, files_per_batch: int | None
 ) -> DataFrame:
-    reader = prepare(spark).readStream.format(kind).schema(schema)
+    reader = prepare(spark).readStream.format(kind).schema(schema).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
