@@ -272,6 +272,17 @@ def test_stream_equals_batch_and_replays_windows(spark, tmp_path):
     assert len(kpis_of(spark, fact)) == 3
 
 
+def test_stream_takes_documents_without_states(spark, tmp_path):
+    bronze, fact = str(tmp_path / "bronze"), new_path(spark, "fact")
+    places = {"silver_path": new_path(spark, "silver"), "fact_path": fact,
+              "checkpoint": new_path(spark, "progress")}
+    for name, states, minute in (("one", None, "00"), ("two", [state("a")], "30")):
+        land(str(tmp_path / name), "d", states, f"2024-01-01T00:{minute}:00+00:00")
+        S.write_snapshots(S.read_snapshots(spark, str(tmp_path / name)), bronze)
+        run_snapshot_stream(spark, bronze, **places)
+    assert len(kpis_of(spark, fact)) == 1
+
+
 def test_documents_land_once_and_the_last_received_wins(spark, tmp_path):
     inbox, bronze, progress = (str(tmp_path / n) for n in ("inbox", "bronze", "progress"))
 

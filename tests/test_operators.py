@@ -119,7 +119,8 @@ def test_required_columns_are_named_in_order(spark):
 
 def test_key_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
-    require_keyed(df, ["k", "v"], ["v"])
+    assert require_keyed(df, ["k", "v"], ["v"]) == 2
+    assert require_keyed(df.limit(0), ["k", "v"], ["v"]) == 0
     with pytest.raises(ValueError, match="not unique"):
         require_keyed(df, ["k"], ["v"])
     empty_cell = spark.createDataFrame([(1, None)], "k int, v string")

@@ -17,8 +17,8 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str) -> DataFr
     return df
 
 
-def require_keyed(df: DataFrame, key: Sequence[str], not_null: Sequence[str]) -> DataFrame:
-    """Raise unless `key` is unique and the `not_null` columns are filled; one aggregate job."""
+def require_keyed(df: DataFrame, key: Sequence[str], not_null: Sequence[str]) -> int:
+    """Number of rows, if `key` is unique and the `not_null` columns are filled; else an error."""
     nulls_in = {c: f"_nulls_{c}" for c in not_null}
     found = (
         df.groupBy(*key)
@@ -26,12 +26,16 @@ def require_keyed(df: DataFrame, key: Sequence[str], not_null: Sequence[str]) ->
             F.count("*").alias("_copies"),
             *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls_in.items()],
         )
-        .agg(F.max("_copies").alias("_copies"), *[F.sum(n).alias(n) for n in nulls_in.values()])
+        .agg(
+            F.count("*").alias("_keys"),
+            F.max("_copies").alias("_copies"),
+            *[F.sum(n).alias(n) for n in nulls_in.values()],
+        )
         .first()
     )
-    if (found["_copies"] or 0) > 1:
+    if found["_keys"] and found["_copies"] > 1:
         raise ValueError(f"Rows are not unique on {list(key)}")
     nulls = [c for c, n in nulls_in.items() if found[n]]
     if nulls:
         raise ValueError(f"Null values in required columns: {nulls}")
-    return df
+    return found["_keys"]

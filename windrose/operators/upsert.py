@@ -46,8 +46,7 @@ def upsert_kpis(
     rows = staged(
         _dated(conform(gold, GOLD_SCHEMA).withColumn("load_time", stamp)), "kpi-rows"
     )
-    require_keyed(rows, KPI_KEY, _REQUIRED_KPIS)
-    if rows.isEmpty():
+    if not require_keyed(rows, KPI_KEY, _REQUIRED_KPIS):
         return
     merged = merge_kpis(read_kpis(spark, path), rows) if _exists(spark, path) else rows
     write_partitions(merged, path, "window_date")
