@@ -130,6 +130,9 @@ def test_newest_risk_equals_the_full_view(spark):
     ranked = risk.newest_rows(full, "origin_country", "window_start", 3)
     assert newest.count() == 9
     assert newest.exceptAll(ranked.select(newest.columns)).isEmpty()
+    latest, expected = risk.latest_risk(df, table), risk.at_latest_window(full, df)
+    assert latest.count() == expected.count() == 2
+    assert latest.exceptAll(expected).isEmpty()
 
 
 def test_products_use_the_latest_window(spark):

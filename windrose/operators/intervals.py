@@ -71,13 +71,16 @@ def best_covering(
     row per block. A point lies in one block per level, hence five unique lookups replace the
     join with every overlapping interval: work grows with points + intervals, also when one
     match value owns most of both. Spark decides by size whether the table is broadcast.
+    Intervals are first cut to the time range of the points.
     """
     step = _step(points, point_second)
+    earliest, latest = (points.agg(edge(point_second)).scalar() for edge in (F.min, F.max))
     block_table = (
-        intervals.select(
+        intervals.filter((first_second <= latest) & (last_second >= earliest))
+        .select(
             interval_match.alias("_match"),
-            F.ceil(first_second / step).alias("_from"),
-            (F.floor(last_second / step) + 1).alias("_stop"),
+            F.ceil(F.greatest(first_second, earliest) / step).alias("_from"),
+            (F.floor(F.least(last_second, latest) / step) + 1).alias("_stop"),
             F.struct(*best).alias("_best"),
         )
         .filter(F.col("_from") < F.col("_stop"))

@@ -1,13 +1,12 @@
 """Keyed upserts into the KPI fact and the override table."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrose.operators.checks import require_columns, require_keyed
 from windrose.plans.overrides import merge_overrides
-from windrose.schemas import GOLD_COLUMNS, GOLD_SCHEMA, KPI_KEY, KPI_SCHEMA, OVERRIDE_SCHEMA
-from windrose.session import staged
+from windrose.schemas import GOLD_COLUMNS, GOLD_SCHEMA, KPI_KEY, OVERRIDE_SCHEMA
+from windrose.session import path_exists, staged
 from windrose.sources.tables import (
     conform,
     in_partitions_of,
@@ -48,7 +47,7 @@ def upsert_kpis(
     )
     if not require_keyed(rows, KPI_KEY, _REQUIRED_KPIS):
         return
-    merged = merge_kpis(read_kpis(spark, path), rows) if _exists(spark, path) else rows
+    merged = merge_kpis(read_kpis(spark, path), rows) if path_exists(spark, path) else rows
     write_partitions(merged, path, "window_date")
 
 
@@ -60,19 +59,9 @@ def upsert_overrides(
     The new table is staged before it replaces the old one, so no step reads what it overwrites.
     """
     stamp = F.current_timestamp() if now is None else now
-    if _exists(spark, path):
+    if path_exists(spark, path):
         target = read_overrides(spark, path)
     else:
         target = spark.createDataFrame([], OVERRIDE_SCHEMA)
     merged = staged(merge_overrides(target, rows, stamp), "overrides")
     merged.write.mode("overwrite").parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema(KPI_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from windrose.functions.numeric import exact_mean, half_up
 from windrose.plans.risk import (
     country_disruption_risk,
+    latest_risk,
     newest_risk,
     risk_with_moving_averages,
 )
@@ -35,11 +36,6 @@ def _rounded(column: str, digits: int, name: str | None = None) -> Column:
     return half_up(F.col(column), digits).alias(name or column)
 
 
-def at_latest_window(rows: DataFrame, kpis: DataFrame) -> DataFrame:
-    """Rows of the newest window anywhere; the one-value maximum is a scalar subquery."""
-    return rows.filter(F.col("window_start") == kpis.agg(F.max("window_start")).scalar())
-
-
 def recommended_action() -> Column:
     action = F.when(F.col("active_event_override"), ACTION_EVENT)
     for band, text in ACTION_BY_BAND.items():
@@ -54,7 +50,7 @@ def risk_history(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
 
 def global_risk_board_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
     """All countries at the latest window."""
-    return at_latest_window(newest_risk(kpis, overrides), kpis).select(
+    return latest_risk(kpis, overrides).select(
         "window_start",
         "origin_country",
         "total_flights",
@@ -189,7 +185,7 @@ def capacity_candidates_view(
 ) -> DataFrame:
     """Busy countries at the latest window with their flights at risk."""
     return (
-        at_latest_window(newest_risk(kpis, overrides), kpis)
+        latest_risk(kpis, overrides)
         .filter(F.col("total_flights") >= min_flights)
         .select(
             "origin_country",

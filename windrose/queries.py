@@ -273,7 +273,7 @@ def override_interval_join(spark, folder):
     best = risk.best_event_per_window(_kpis(spark, folder), _overrides(spark, folder))
     return best.withColumnsRenamed(
         {"best_severity": "severity_score", "best_start": "event_start", "best_end": "event_end"}
-    ).drop("best_id")
+    ).drop("event_id")
 
 
 def override_best_event(spark, folder):
@@ -311,7 +311,7 @@ def moving_average_6(spark, folder):
 
 def latest_window(spark, folder):
     kpis = _kpis(spark, folder)
-    return views.at_latest_window(kpis, kpis).select(*KPI_KEY, "total_flights")
+    return risk.at_latest_window(kpis, kpis).select(*KPI_KEY, "total_flights")
 
 
 def _last_three(spark, folder):
