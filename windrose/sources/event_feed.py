@@ -14,9 +14,16 @@ WINDOW = "12 hours"
 NATIONS = 25
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Share out a table that one task would scan alone; larger tables are split by the scan."""
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _located_events(spark: SparkSession, folder: str) -> DataFrame:
     prepare(spark)
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = _spread(spark.read.parquet(f"{folder}/events.parquet"), "event_id")
     nation = spark.read.parquet(f"{folder}/nation.parquet")
     region = spark.read.parquet(f"{folder}/region.parquet")
     places = (
