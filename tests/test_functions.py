@@ -114,3 +114,11 @@ def test_quantiles_of_a_measure_without_values(spark):
     df = spark.createDataFrame([(1, 2.0, None), (1, 4.0, None)], "g int, a double, b double")
     measures = {"a": (F.col("a"), 0.5), "b": (F.col("b"), 0.5)}
     assert [tuple(r) for r in grouped_quantiles(df, ["g"], measures).collect()] == [(1, 3.0, None)]
+
+
+def test_quantiles_with_infinities(spark):
+    values = [-math.inf, 1.0, 2.0, math.inf, math.inf]
+    df = spark.createDataFrame([(1, v) for v in values], "g int, v double")
+    measures = {f"p{i}": (F.col("v"), i / 4) for i in range(5)}
+    ours = grouped_quantiles(df, ["g"], measures).drop("g").first()
+    assert list(ours) == values
