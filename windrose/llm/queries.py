@@ -4,19 +4,25 @@ from windrose.llm import (
     chat_format,
     decontaminate,
     language_id,
+    line_dedup,
+    main_text,
     simhash_dedup,
     source_mix,
     token_files,
     url_filter,
+    vector_search,
 )
 
 _MODULES = [
+    vector_search,
     url_filter,
     source_mix,
     simhash_dedup,
     decontaminate,
     token_files,
+    main_text,
     chat_format,
+    line_dedup,
     language_id,
 ]
 
