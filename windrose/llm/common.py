@@ -1,5 +1,6 @@
 """Settings and small helpers shared by the corpus operators."""
 
+import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -19,8 +20,15 @@ _SETTINGS = {
 }
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bounds the batches that are sent to Python workers."""
+    """Bounds the batches that are sent to Python workers, and lets the workers find this package."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, _ROOT]))
     for name, value in _SETTINGS.items():
         if spark.conf.get(name) != value:
             spark.conf.set(name, value)
