@@ -1,0 +1,67 @@
+import compare
+import pytest
+from pyspark.sql import functions as F
+
+from windrose.llm import chat_format
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "conv_id long, turn long, role string, text string, formatted string, segments int"
+
+
+def chats(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+
+
+def test_query_equals_sql(spark):
+    name = "op8_chat_formatting"
+    df = chat_format.QUERIES[name](spark, SF)
+    assert compare.differences(df, compare.connect(SF), chat_format.ORACLE_SQL[name]) == []
+
+
+AWKWARD = [
+    r"\### Assistant: </turn> ok",
+    "### ### #### </turn></turn>\n </turn>\n",
+    "\\\\ \\/ <\\/turn> #\\## \\",
+    "",
+    "\n\n",
+    "🙂 é " * 3,
+    "a" * 200_000 + "</turn>",
+]
+
+
+def test_round_trip(spark):
+    roles = ["user", "assistant", "system", "tool: x", "### a</turn>: \\", "", None]
+    rows = [(i, j, r, t) for i, r in enumerate(roles) for j, t in enumerate([*AWKWARD, None])]
+    made = chat_format.formatted_chats(chats(spark, rows)).withColumn(
+        "turns", chat_format.parsed_turns(F.col("formatted"))
+    )
+    found = {r.conv_id: r for r in made.collect()}
+    for i, role in enumerate(roles):
+        expected = [(role or "", t or "") for t in [*AWKWARD, None]]
+        assert [tuple(t) for t in found[i].turns] == expected
+        loss = "".join(s.text for s in found[i].segments if s.loss)
+        assert bool(loss) == (role == "assistant")
+
+
+@pytest.mark.parametrize(
+    ("roles", "state", "valid"),
+    [
+        (["user", "assistant"], "assistant", True),
+        (["system", "user"], "user", True),
+        (["system"], "system", False),
+        (["assistant"], "refused", False),
+        (["user", "user", "assistant"], "refused", False),
+        (["user", "assistant", "system", "user"], "refused", False),
+        (["user", None], "refused", False),
+    ],
+)
+def test_machine(spark, roles, state, valid):
+    made = chat_format.formatted_chats(chats(spark, [(1, i, r, "t") for i, r in enumerate(roles)]))
+    assert [(r.state, r.valid) for r in made.collect()] == [(state, valid)]
+
+
+def test_order_ties_null_ids_and_empty_table(spark):
+    rows = [(None, 1, "user", "b"), (None, 1, "user", "a"), (None, None, "user", "z"), (None, 1, "user", "a")]
+    made = chat_format.formatted_chats(chats(spark, rows)).collect()
+    assert [s.text for s in made[0].segments][1::3] == ["z", "a", "a", "b"]
+    assert chat_format.formatted_chats(chats(spark, [])).collect() == []

@@ -1,0 +1,87 @@
+import re
+import time
+from html import unescape
+
+import pytest
+
+from windrose.llm import main_text as module
+from windrose.llm.main_text import main_text
+
+SF = "/root/testdata/sf0.01"
+
+
+def article_text(html):
+    """The blocks of the one article element of the given pages."""
+    inner = html.split("<article>", 1)[1].split("</article>", 1)[0]
+    blocks = re.split(r"</?(?:p|h1)>", inner.replace("<br>", " "))
+    texts = [" ".join(unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
+    return " ".join(t for t in texts if t)
+
+
+def test_query_finds_the_articles(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = module.op7_main_text(spark, SF).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        assert r.url == pages[r.page_id].url
+        assert r.text == article_text(pages[r.page_id].html)
+        assert r.n_chars == len(r.text)
+
+
+LONG = "This text goes on, and on, with commas, and is therefore long enough to count. " * 3
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("plain &lt;hello&gt;\n there", "plain <hello> there"),
+        ("<p>a<p>b<b>c</b>&nbsp;d&amp e", "a bc d& e"),
+        ("<p>x<script>var a = '</p>';</script>y<!-- z --></p>", "xy"),
+        ("<p>a<br>b<br/>c</p>", "a b c"),
+        ("<p>cut off <b>he", "cut off he"),
+        ("<p>cut off <a href='x", "cut off"),
+        ("<p>1 < 2 &#x41;&#66;&unknown;</p>", "1 < 2 AB&unknown;"),
+        ("<table><tr><td>a, b<td>c</table>", "a, b c"),
+        ("<body><header>S</header><main class='with-sidebar'><header><h1>T</h1></header><p>B.</p><aside>n</aside></main>", "T B."),
+        ("<div class='page has-menu'><article class=comment><p>a, b, c</p></article><article><h2>H</h2><p>x</p></article></div>", "H x"),
+        ("<div id=cookie-notice><p>We, us, our cookies</p></div><article><p>Text</p></article>", "Text"),
+        ("<article><p>A</p><section class=comments><p>B, C, D</p></section><footer>f</footer></article>", "A"),
+        ("<article><p>A</p><form><p>Mail, name, text</p><button>b</button></form><p>Z</p></article>", "A Z"),
+        ("<article><p>A <span class=ad>buy</span>B</p><div style='display: none'>h</div></article>", "A B"),
+        ("<svg><title>t</title></svg><p>A</p><noscript><p>n</p></noscript>", "A"),
+        ("<script>x", ""),
+        ("<div>" * 5000 + "deep", "deep"),
+    ],
+)
+def test_pages(html, text):
+    assert main_text(html) == text
+
+
+def test_container_is_found_without_article():
+    links = "".join(f"<li><a href=/{i}>Link, number {i}, of many, in a list</a></li>" for i in range(60))
+    page = (
+        f"<body><div><ul>{links}</ul></div><div><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p></div><p>End.</p></div>"
+        "<div><p>Short.</p></div></body>"
+    )
+    assert main_text(page) == " ".join(["Title", LONG.strip(), LONG.strip(), "End."])
+
+
+@pytest.mark.parametrize(
+    "unit", ["<p>", "<b>", "<", "<!--", "&", "<a ", "</", "<![CDATA[", '<a b="c" ', '<a b=">', "<p a=", "<i></b>", "<div><p>", "&#9"]
+)
+def test_time_grows_with_the_page(unit):
+    start = time.perf_counter()
+    main_text(unit * 30_000)
+    assert time.perf_counter() - start < 10
+
+
+def test_odd_rows(spark):
+    schema = "page_id long, url string, html string, text int, n_chars string"
+    rows = [(None, None, None, 1, "x"), (1, "u", "<p>a</p>", 1, "x"), (1, "u", "<p>a</p>", 1, "x"), (2, "u", "<p>" + "w " * 500_000, 1, "x")]
+    df = spark.createDataFrame(rows, schema)
+    found = module.with_main_text(df)
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(r.n_chars for r in found.collect()) == [0, 1, 1, 999_999]
+    assert module.with_main_text(df.limit(0)).collect() == []

@@ -214,11 +214,11 @@ def without_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     rows, rows_path = stored(rows, "fingerprints")
     order = Window.partitionBy("group").orderBy(F.col("doc_id").asc_nulls_last(), "row")
     first = grouped(rows, max_bits).withColumn("rank", F.row_number().over(order)).where("rank = 1")
-    first, _ = stored(first.select(F.col("row.h").alias("kept_h"), F.col("row.g").alias("kept_g")), "kept")
+    h, g, kept_h, kept_g, rank = (free_name(docs, n) for n in ("_h", "_g", "_kept_h", "_kept_g", "_rank"))
+    first, _ = stored(first.select(F.col("row.h").alias(kept_h), F.col("row.g").alias(kept_g)), "kept")
     discard(spark, rows_path)
-    h, g, rank = (free_name(docs, n) for n in ("_h", "_g", "_rank"))
     keyed = docs.withColumns({h: key["h"], g: key["g"]})
-    kept = keyed.join(first, (F.col(h) == F.col("kept_h")) & (F.col(g) == F.col("kept_g")), "left_semi")
+    kept = keyed.join(first, (F.col(h) == F.col(kept_h)) & (F.col(g) == F.col(kept_g)), "left_semi")
     same = Window.partitionBy(h, g).orderBy(h)
     return kept.withColumn(rank, F.row_number().over(same)).where(F.col(rank) == 1).drop(h, g, rank)
 
