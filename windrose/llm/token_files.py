@@ -20,8 +20,10 @@ that repeat an id are documents of their own, in the order of a hash of their te
 no parts. `docs` may have more columns.
 """
 
+import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,9 +42,13 @@ from windrose.session import new_path
 
 _MANIFEST = "part int, path string, documents long, tokens long"
 _PIECE = 1 << 20
-_KEPT_PIECES = 300_000
+_KEPT_PIECES = 600_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSE = re.compile(r" \s|\s ")
+_ASCII_CLOSE = [x for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f" for x in (f" {c}", f"{c} ")] + ["  "]
+#: Within a piece the pattern also cuts between an ASCII letter and a mark, and around a line feed
+#: between ASCII characters that are no white space.
+_INNER = re.compile(r"(?<=[A-Za-z])(?=[,.!?;:%*#$&])|(?<=[!-~])(?=\n[!-~])|(?<=[!-~]\n)(?=[!-~])")
 
 
 @dataclass(frozen=True)
@@ -56,8 +62,53 @@ class TokenFiles:
 PRODUCTION = TokenFiles()
 
 
+#: Byte-level pre-tokenizers whose pattern allows the cuts below.
+_CUTTABLE = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+#: All letters before this character have long been letters in every Unicode version.
+_FIRST_UNSURE = "\u0530"
+
+
+def _byte_characters() -> dict[int, str]:
+    """The printable stand-ins of byte-level vocabularies: a byte's own character if it can be seen.
+
+    The others are numbered on from 256.
+    """
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(256 + i) for i, b in enumerate(unseen)}
+
+
+class _Pieces(dict):
+    """Ids of pieces that follow a space; new ones are encoded when they are asked for."""
+
+    def __init__(self, encode, word) -> None:
+        super().__init__()
+        self._encode, self._word, self._inner = encode, word, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        first, *rest = _INNER.split(piece)
+        ids = self.get(first) if rest else None
+        if ids is None:
+            ids = self._word(first) if first.isalpha() and max(first) < _FIRST_UNSURE else self._encode(" " + first)
+        if len(self) >= _KEPT_PIECES:
+            return ids + b"".join(map(self._encode, rest))
+        self[first] = ids
+        for run in rest:
+            known = self._inner.get(run)
+            if known is None:
+                known = self._encode(run)
+                if len(self._inner) < _KEPT_PIECES:
+                    self._inner[run] = known
+            ids += known
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
-    """Text to ids with a tokenizer of the tokenizers library, given as its JSON."""
+    """Text to ids with a tokenizer of the tokenizers library, given as its JSON.
+
+    Cuts texts into pieces only if the tokenizer is a byte-level one with the usual pattern.
+    """
 
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,11 +117,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.type = np.min_scalar_type(max(1, self.tokenizer.get_vocab_size() - 1))
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, self.type).tobytes() for f in found]
+        parts = json.loads(definition)
+        before = parts.get("pre_tokenizer") or {}
+        self.cuttable = not parts.get("normalizer") and before.items() >= _CUTTABLE.items()
+        self.pieces = _Pieces(self._encode, self._word)
+        self._characters = _byte_characters()
+        self._space = self._characters[ord(" ")]
+        self._code = "B" if self.type == np.uint8 else "H" if self.type == np.uint16 else "I"
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self._code}", *ids)
+
+    def _encode(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, letters: str) -> bytes:
+        """A space and a run of letters are one piece of the pattern: straight to the merges."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self._characters)
+        return self._packed([t.id for t in self.tokenizer.model.tokenize(self._space + letters)])
 
     def _parts(self, text: str) -> Iterator[str]:
         """Runs of the text that end before a cut, of about `_PIECE` characters."""
@@ -85,18 +150,16 @@ class Encoder:
 
     def encoded(self, text: str) -> bytes:
         """The ids as an array's bytes."""
-        return b"".join(map(self._part, self._parts(text))) if text else b""
+        if not text:
+            return b""
+        return b"".join(map(self._part, self._parts(text))) if self.cuttable else self._encode(text)
 
     def _part(self, part: str) -> bytes:
-        pieces = _CUT.split(part) if _CLOSE.search(part) else part.split(" ")
+        close = any(map(part.__contains__, _ASCII_CLOSE)) if part.isascii() else _CLOSE.search(part)
+        pieces = _CUT.split(part) if close else part.split(" ")
         # A part after a cut starts with its space.
         first = pieces.pop(0) if pieces[0] else " " + pieces.pop(0) + pieces.pop(0)
-        if len(self.known) > _KEPT_PIECES:
-            self.known.clear()
-        new = list(set(pieces).difference(self.known))
-        if new:
-            self.known.update(zip(new, self._encode([" " + p for p in new]), strict=True))
-        return b"".join([*self._encode([first]), *map(self.known.__getitem__, pieces)])
+        return b"".join([self._encode(first), *map(self.pieces.__getitem__, pieces)])
 
 
 @lru_cache(maxsize=2)
