@@ -82,7 +82,7 @@ def test_hypergeometric_distribution(spark):
 def test_shards_share_out_all_blocks(spark, shards):
     quotas = [70, 0, 33, 1]
     df = spark.createDataFrame(list(enumerate(quotas)), "place int, quota long")
-    found = {r.place: r.shards for r in source_mix.shard_quotas(df, Mix(shards=shards)).collect()}
+    found = {r.place: r.shards for r in source_mix.shard_quotas(df, shards).collect()}
     assert [len(found[i]) for i in range(4)] == quotas
     assert all(list(s) == sorted(s) for s in found.values())
     sizes = Counter(s for run in found.values() for s in run)
@@ -111,6 +111,24 @@ def test_odd_rows_and_clashing_columns(spark):
     assert source_mix.mixed(docs.limit(0)).collect() == []
 
 
+def test_shards_are_disjoint_runs_of_blocks(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mix = Mix(words_per_shard=5000, blocks_per_shard=8)
+    rows = source_mix.mix_sources(docs, mix).collect()
+    total = sum(r.taken for r in rows)
+    blocks, words = {}, Counter()
+    for r in rows:
+        for copy in r.copies:
+            blocks.setdefault((r.source, copy.block), set()).add(copy.shard)
+            words[copy.shard] += r["size"]
+    assert all(len(shards) == 1 for shards in blocks.values())
+    assert len(words) > 5
+    assert max(words.values()) < 3 * total / len(words)
+    for source in {s for s, _ in blocks}:
+        shards = [min(blocks[key]) for key in sorted(k for k in blocks if k[0] == source)]
+        assert shards == sorted(shards)
+
+
 def test_mixed_repeats_rows_as_often_as_taken(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     expected = Counter({r.doc_id: len(r.copies) for r in source_mix.mix_sources(docs).collect()})

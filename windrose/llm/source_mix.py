@@ -19,6 +19,7 @@ replace no column: they carry underscores in front if `docs` has one of that nam
 """
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,13 +34,14 @@ _LEAST_RANGE_ROWS = 64
 class Mix:
     """Sources by code point take `weights` in turn; together they give `share` of all words.
 
-    No source gives more than `most` times its words.
+    No source gives more than `most` times its words. The mix has a shard for each
+    `words_per_shard` words; as many times `blocks_per_shard` blocks are planned.
     """
 
     weights: tuple[float, ...] = (3.0, 1.0, 2.0)
     share: float = 1.5
     most: int = 2
-    shards: int = 16
+    words_per_shard: int = 1 << 22
     blocks_per_shard: int = 64
     seed: int = 7
 
@@ -164,17 +166,17 @@ def _left_quotas(quotas: Column, total: Column, left: Column, *seed: Column) ->
     return F.aggregate(quotas, start, step)["counts"]
 
 
-def shard_quotas(sources: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
-    """(place, shards): for each source the shard of each of its blocks, in order.
+def shard_quotas(sources: DataFrame, count: int, mix: Mix = PRODUCTION) -> DataFrame:
+    """(place, shards): for each source the shard, of `count` ones, of each of its blocks in order.
 
     `sources` has place and quota. One row per tree node, one level after the other.
     """
     quota = F.sort_array(F.collect_list(F.struct("place", "quota")))
     nodes = sources.agg(F.transform(quota, lambda q: q["quota"]).alias("quotas")).select(
-        F.lit(0).alias("first"), F.lit(mix.shards).alias("end"), "quotas"
+        F.lit(0).alias("first"), F.lit(count).alias("end"), "quotas"
     )
     zero = F.lit(0).cast("long")
-    for _ in range((mix.shards - 1).bit_length()):
+    for _ in range((count - 1).bit_length()):
         total = F.aggregate("quotas", zero, lambda a, b: a + b)
         middle = F.floor((F.col("first") + F.col("end")) / 2).cast("int")
         nodes = nodes.withColumn("total", total).withColumn("middle", middle)
@@ -205,10 +207,10 @@ def shard_quotas(sources: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+def _planned(docs: DataFrame, mix: Mix) -> tuple[DataFrame, int]:
     """`docs` with size, source_size, target, taken and copies array<struct<pass, block, shard>>.
 
-    `taken` counts the words of all copies. Needs doc_id, text and source.
+    Also the number of shards.
     """
     spark = prepare(docs.sparkSession)
     own = {n: free_name(docs, n) for n in ("size", "source_size", "target", "taken", "copies")}
@@ -222,15 +224,14 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
         F.count("*").alias("rows"), F.sum(size).alias("source_size")
     )
     goals, goals_path = stored(source_targets(totals, mix), "mix-goals")
-    length = F.greatest(
-        F.lit(1.0),
-        F.ceil(F.sum("target").over(Window.partitionBy()) / (mix.shards * mix.blocks_per_shard)),
-    )
-    goals = goals.withColumn("length", length).withColumn(
+    total = goals.agg(F.sum("target")).first()[0] or 0.0
+    shards = max(1, ceil(total / mix.words_per_shard))
+    length = max(1.0, float(ceil(total / (shards * mix.blocks_per_shard))))
+    goals = goals.withColumn("length", F.lit(length)).withColumn(
         "quota", F.ceil(F.col("target") / F.col("length"))
     )
     ranges = F.greatest(F.lit(float(_LEAST_RANGE_ROWS)), F.sqrt("rows"))
-    goals = goals.join(shard_quotas(goals, mix), "place").select(
+    goals = goals.join(shard_quotas(goals, shards, mix), "place").select(
         F.col("key").alias("_goal"),
         F.col("source_size").alias("_source_size"),
         F.col("target").alias("_target"),
@@ -276,7 +277,7 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     copies = F.filter(
         F.array(*[copy(F.lit(turn)) for turn in range(mix.most)]), lambda c: c["shard"].isNotNull()
     )
-    return placed.withColumn(own["copies"], copies).select(
+    planned = placed.withColumn(own["copies"], copies).select(
         *[F.col(f"`{c}`") for c in docs.columns],
         size,
         of("source_size").alias(own["source_size"]),
@@ -284,18 +285,27 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
         (size * F.size(own["copies"])).alias(own["taken"]),
         own["copies"],
     )
+    return planned, shards
+
+
+def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+    """`docs` with size, source_size, target, taken and copies array<struct<pass, block, shard>>.
+
+    `taken` counts the words of all copies. Needs doc_id, text and source.
+    """
+    return _planned(docs, mix)[0]
 
 
 def mixed(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     """The rows of the mix with the columns of `docs`, a row for each copy, shard by shard."""
-    chosen = mix_sources(docs, mix)
+    chosen, shards = _planned(docs, mix)
     copies = chosen.columns[-1]
     copy = free_name(chosen, "_copy")
     order = _position(mix.seed + 1, F.col("doc_id"), F.col(f"{copy}.pass"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return (
         chosen.select(*columns, F.explode(copies).alias(copy))
-        .repartition(mix.shards, F.col(f"{copy}.shard"))
+        .repartition(shards, F.col(f"{copy}.shard"))
         .sortWithinPartitions(F.col(f"{copy}.shard"), order)
         .select(*columns)
     )
