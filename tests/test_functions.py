@@ -77,11 +77,21 @@ def test_half_even_equals_numpy(spark):
 
 @pytest.mark.parametrize(
     "values, expected",
-    [([0.1] * 10, 0.1), ([1.5, None, 2.5], 2.0), ([None], None), ([1e300, 1e300], 1e300)],
+    [
+        ([0.1] * 10, 0.1), ([1.5, None, 2.5], 2.0), ([None], None), ([1e21, 1e21, -2e21], 0.0),
+        ([1.0, math.inf], math.inf), ([1.0, math.nan], "nan"), ([math.inf, -math.inf], "nan"),
+    ],
 )
 def test_exact_mean(spark, values, expected):
     df = one_column(spark, values, T.DoubleType())
-    assert df.agg(numeric.exact_mean(F.col("c")).alias("m")).first().m == expected
+    found = df.agg(numeric.exact_mean(F.col("c")).alias("m")).first().m
+    assert math.isnan(found) if expected == "nan" else found == expected
+
+
+def test_sums_fail_on_what_they_cannot_hold(spark):
+    for value in (1e22, -1e300, math.inf, math.nan):
+        with pytest.raises(Exception, match="No exact sum"):
+            one_column(spark, [1.0, value], T.DoubleType()).agg(numeric.exact_sum(F.col("c"))).collect()
 
 
 def test_clip_keeps_null(spark):

@@ -5,19 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Time steps in seconds, coarsest first; the first one that all points lie on is used.
-_STEPS = [1800, 60, 1]
-# Block lengths in steps. With half-hour steps: 30 min, 8 h, 5 d, 85 d, 4 years.
-_FANOUT = 16
-_BLOCKS = [_FANOUT**level for level in range(5)]
-
-
-def _step(points: DataFrame, second: Column) -> Column:
-    """The coarsest time step that every point lies on, as a scalar subquery."""
-    chosen = F.lit(1)
-    for step in reversed(_STEPS):
-        chosen = F.when(F.max(F.pmod(second, F.lit(step))) == 0, step).otherwise(chosen)
-    return points.agg(chosen).scalar()
+# Seconds of a block at each level; each length divides the next. Blocks of half hours and more keep
+# intervals on the usual window grid short, smaller ones serve any second.
+_BLOCKS = [1, 10, 60, 300, 1800, 28_800, 460_800, 7_372_800, 117_964_800]
 
 
 def _span(first: Column, stop: Column) -> Column:
@@ -32,23 +22,24 @@ def _at_level(level: int):
 
 
 def _covering_blocks(start: Column, stop: Column) -> Column:
-    """The largest aligned blocks that together make up the steps start .. stop-1."""
+    """The largest aligned blocks that together make up the seconds start .. stop-1."""
     first = [F.ceil(start / length) for length in _BLOCKS]
     last = [F.floor(stop / length) for length in _BLOCKS]
     pieces = []
     for level in range(len(_BLOCKS)):
         whole = _span(first[level], last[level])
         if level + 1 < len(_BLOCKS):
-            up_first, up_last = first[level + 1] * _FANOUT, last[level + 1] * _FANOUT
+            fanout = _BLOCKS[level + 1] // _BLOCKS[level]
+            up_first, up_last = first[level + 1] * fanout, last[level + 1] * fanout
             edges = F.concat(_span(first[level], up_first), _span(up_last, last[level]))
             whole = F.when(up_first < up_last, edges).otherwise(whole)
         pieces.append(F.transform(whole, _at_level(level)))
     return F.concat(*pieces)
 
 
-def _blocks_around(step: Column) -> Column:
+def _blocks_around(second: Column) -> Column:
     return F.array(
-        *[_at_level(level)(F.floor(step / length)) for level, length in enumerate(_BLOCKS)]
+        *[_at_level(level)(F.floor(second / length)) for level, length in enumerate(_BLOCKS)]
     )
 
 
@@ -66,21 +57,21 @@ def best_covering(
 ) -> DataFrame:
     """For each point covered by a matching interval: the greatest `best` tuple, as columns.
 
-    Both ends are inclusive and count whole epoch seconds. Each interval is cut into a few
-    aligned blocks and the best interval per (match, block) is kept, so the lookup table has one
-    row per block. A point lies in one block per level, hence five unique lookups replace the
-    join with every overlapping interval: work grows with points + intervals, also when one
-    match value owns most of both. Spark decides by size whether the table is broadcast.
-    Intervals are first cut to the time range of the points.
+    Both ends are inclusive and count whole epoch seconds. Each interval is cut into aligned
+    blocks, some for each level at both ends, so their number grows with the logarithm of its
+    length whatever the points are. The best interval per (match, block) is kept, so the lookup
+    table has one row per block. A point lies in one block per level, hence one unique lookup per
+    level replaces the join with every overlapping interval: work grows with points + intervals,
+    also when one match value owns most of both. Spark decides by size whether the table is
+    broadcast. Intervals are first cut to the time range of the points.
     """
-    step = _step(points, point_second)
     earliest, latest = (points.agg(edge(point_second)).scalar() for edge in (F.min, F.max))
     block_table = (
         intervals.filter((first_second <= latest) & (last_second >= earliest))
         .select(
             interval_match.alias("_match"),
-            F.ceil(F.greatest(first_second, earliest) / step).alias("_from"),
-            (F.floor(F.least(last_second, latest) / step) + 1).alias("_stop"),
+            F.greatest(first_second, earliest).alias("_from"),
+            (F.least(last_second, latest) + 1).alias("_stop"),
             F.struct(*best).alias("_best"),
         )
         .filter(F.col("_from") < F.col("_stop"))
@@ -96,9 +87,8 @@ def best_covering(
         points.select(
             *point_keys,
             point_match.alias("_match"),
-            F.floor(point_second / step).alias("_step"),
+            F.explode(_blocks_around(point_second)).alias("_at"),
         )
-        .select(*point_keys, "_match", F.explode(_blocks_around(F.col("_step"))).alias("_at"))
         .select(*point_keys, "_match", "_at.*")
     )
     return (
