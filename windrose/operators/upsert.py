@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 from windrose.operators.checks import require_columns, require_keyed
 from windrose.plans.overrides import merge_overrides
 from windrose.schemas import GOLD_COLUMNS, GOLD_SCHEMA, KPI_KEY, OVERRIDE_SCHEMA
-from windrose.session import path_exists, staged
+from windrose.session import path_exists, staging
 from windrose.sources.tables import (
     conform,
     in_partitions_of,
     read_kpis,
-    read_overrides,
+    read_override_months,
+    with_start_month,
+    write_overrides,
     write_partitions,
 )
 
@@ -42,13 +44,13 @@ def upsert_kpis(
     """
     require_columns(gold, GOLD_COLUMNS, "Gold table")
     stamp = F.current_timestamp() if load_time is None else load_time
-    rows = staged(
-        _dated(conform(gold, GOLD_SCHEMA).withColumn("load_time", stamp)), "kpi-rows"
-    )
-    if not require_keyed(rows, KPI_KEY, _REQUIRED_KPIS):
-        return
-    merged = merge_kpis(read_kpis(spark, path), rows) if path_exists(spark, path) else rows
-    write_partitions(merged, path, "window_date")
+    dated = _dated(conform(gold, GOLD_SCHEMA).withColumn("load_time", stamp))
+    with staging(spark) as stage:
+        rows = stage(dated, "kpi-rows")
+        if not require_keyed(rows, KPI_KEY, _REQUIRED_KPIS):
+            return
+        merged = merge_kpis(read_kpis(spark, path), rows) if path_exists(spark, path) else rows
+        write_partitions(merged, path, "window_date")
 
 
 def upsert_overrides(
@@ -56,12 +58,17 @@ def upsert_overrides(
 ) -> None:
     """Merge checked override rows (with `ordinal`) into the override table; one writer at a time.
 
-    The new table is staged before it replaces the old one, so no step reads what it overwrites.
+    The key holds the start, so only the months of `rows` are read and rewritten. Their new
+    contents are staged first: until they are complete the table stays as it is, and then each
+    month is replaced in one step.
     """
     stamp = F.current_timestamp() if now is None else now
-    if path_exists(spark, path):
-        target = read_overrides(spark, path)
-    else:
-        target = spark.createDataFrame([], OVERRIDE_SCHEMA)
-    merged = staged(merge_overrides(target, rows, stamp), "overrides")
-    merged.write.mode("overwrite").parquet(path)
+    with staging(spark) as stage:
+        if path_exists(spark, path):
+            table = read_override_months(spark, path)
+            last_id = table.agg(F.max("event_id")).first()[0] or 0
+            target = in_partitions_of(table, with_start_month(rows), "start_month")
+        else:
+            last_id, target = 0, spark.createDataFrame([], OVERRIDE_SCHEMA)
+        merged = stage(merge_overrides(target, rows, stamp, F.lit(last_id)), "overrides")
+        write_overrides(merged, path)

@@ -38,10 +38,13 @@ def clean_states(raw: DataFrame) -> DataFrame:
 
 
 def latest_per_vehicle(states: DataFrame) -> DataFrame:
-    """The row with the latest contact per (window, vehicle); payload order breaks ties."""
-    return latest_per_key(
-        states, ["icao24", "window_start"], [F.col("last_contact"), -F.col("pos")]
-    )
+    """The row with the latest contact per (window, vehicle); payload order breaks ties.
+
+    Positions repeat between documents of one window; a hash of the row then decides, so that the
+    result does not depend on the order of tasks.
+    """
+    order = [F.col("last_contact"), -F.col("pos"), F.xxhash64(*states.columns)]
+    return latest_per_key(states, ["icao24", "window_start"], order)
 
 
 def _age(reference: Column, seen: Column) -> Column:

@@ -41,6 +41,9 @@ OVERRIDE_INPUT_COLUMNS = [
     "min_disruption_band", "event_start_utc", "event_end_utc", "is_active",
 ]
 
+#: CSV files: quotes inside cells are doubled, a backslash is a plain character.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+
 INGESTION_FIELD = "_pipeline_ingestion"
 WINDOW_KEY_FORMAT = "yyyyMMdd_HHmmss"
 

@@ -3,7 +3,9 @@
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
@@ -17,7 +19,10 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings that the operators rely on; called by every reader."""
+    """Sets the session's time zone and code-generation limit, which the operators rely on.
+
+    Every reader calls it, so both settings then also hold for the caller's own queries.
+    """
     for name, value in _SETTINGS.items():
         if spark.conf.get(name) != value:
             spark.conf.set(name, value)
@@ -41,22 +46,45 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Asks for the one path; nothing below it is listed."""
+    files, place = _on_file_system(spark, path)
+    return files.exists(place)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     For results that several branches of one plan read: each branch then scans only the columns
     it needs, and a lost executor costs a re-read instead of the whole lineage.
     """
-    path = new_path(df.sparkSession, label)
+    path = path or new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Removes staged tables that nothing reads any more."""
+    for path in paths:
+        files, place = _on_file_system(spark, path)
+        files.delete(place, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator:
+    """A `staged` whose tables are removed when the block ends, also if it fails."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        paths.append(new_path(spark, label))
+        return staged(df, label, paths[-1])
+
+    try:
+        yield stage
+    finally:
+        discard(spark, *paths)

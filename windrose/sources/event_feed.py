@@ -1,6 +1,7 @@
 """Reads the generic `events` table as telemetry: raw state rows and raw override rows.
 
-The mapping uses every event. It plants the feed's irregularities (nulls, blanks, tokens, bad
+The mapping uses every event with a time and a user number of zero or more, as the given tables have;
+events without one have no place in the mapping. It plants the feed's irregularities (nulls, blanks, tokens, bad
 numbers, repeated vehicles, ties) by the integer `k` in the event's properties.
 """
 
@@ -14,16 +15,9 @@ WINDOW = "12 hours"
 NATIONS = 25
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Share out a table that one task would scan alone; larger tables are split by the scan."""
-    if df.rdd.getNumPartitions() > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def _located_events(spark: SparkSession, folder: str) -> DataFrame:
     prepare(spark)
-    events = _spread(spark.read.parquet(f"{folder}/events.parquet"), "event_id")
+    events = spark.read.parquet(f"{folder}/events.parquet")
     nation = spark.read.parquet(f"{folder}/nation.parquet")
     region = spark.read.parquet(f"{folder}/region.parquet")
     places = (
@@ -66,9 +60,9 @@ def read_raw_states(spark: SparkSession, folder: str) -> DataFrame:
                 F.lit("AC"), F.lpad(_text(F.col("user_id") * 4 + k % 4), 6, "0"), F.lit(" ")
             )
         ),
-        "callsign": F.when(k % 9 == 0, null).otherwise(
-            F.concat(F.lit("\tCS"), _text(F.col("user_id")), F.lit(" "))
-        ),
+        "callsign": F.when(k % 9 == 0, null)
+        .when(k % 9 == 1, F.concat(F.lit('\t"C", \\S'), _text(F.col("user_id"))))
+        .otherwise(F.concat(F.lit("\tCS"), _text(F.col("user_id")), F.lit(" "))),
         "origin_country": F.when(k == 97, null)
         .when(k == 96, "  ")
         .when(k == 95, "NA")
@@ -150,7 +144,7 @@ def _raw_overrides(
         .alias("region_value"),
         F.when(k % 9 != 0, F.upper("event_type")).alias("event_type"),
         F.when(k % 8 != 0, F.concat(F.lit("src"), _text(k % 3))).alias("source"),
-        F.concat(F.lit(" note "), _text(k)).alias("notes"),
+        F.concat(pick([' say "go", now ', " C:\\logs\\", " two\nlines ", " note "]), _text(k)).alias("notes"),
         F.when(k % 10 == 0, "bad").otherwise(severity).alias("severity_score"),
         pick(bands).alias("min_disruption_band"),
         _text(start).alias("event_start_utc"),

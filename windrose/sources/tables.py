@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from windrose.functions.text import csv_flag, csv_null
 from windrose.operators.checks import require_columns
 from windrose.schemas import (
+    CSV,
     GOLD_COLUMNS,
     GOLD_INPUT_COLUMNS,
     GOLD_SCHEMA,
@@ -14,7 +15,7 @@ from windrose.schemas import (
     OVERRIDE_SCHEMA,
     SILVER_SCHEMA,
 )
-from windrose.session import prepare
+from windrose.session import path_exists, prepare
 from windrose.sources.snapshots import window_key
 
 _FLAGS = ["on_ground", "is_stale_contact", "is_low_velocity"]
@@ -40,6 +41,13 @@ def _read_partitions(spark: SparkSession, path: str, schema: T.StructType, colum
     return prepare(spark).read.schema(with_partition).parquet(path)
 
 
+def existing_folders(spark: SparkSession, path: str, column: str, values: list) -> list[str]:
+    """Folders of the given partition values that are there; no other folder is looked at."""
+    names = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in values)
+    folders = (f"{path}/{column}={name}" for name in names)
+    return [f for f in folders if path_exists(spark, f)]
+
+
 def in_partitions_of(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """Rows of a partitioned table in the partitions that `rows` has.
 
@@ -59,9 +67,18 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return _read_partitions(spark, path, SILVER_SCHEMA, "window_key", T.StringType())
 
 
+def read_silver_windows(spark: SparkSession, path: str, keys: list) -> DataFrame:
+    """Silver of some windows by their `window_key`, whatever else the table holds."""
+    schema = T.StructType([*SILVER_SCHEMA.fields, T.StructField("window_key", T.StringType())])
+    folders = existing_folders(spark, path, "window_key", keys)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return prepare(spark).read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def read_silver_csv(spark: SparkSession, path: str) -> DataFrame:
     """Silver from CSV files: missing-value tokens become null, flags are read from text."""
-    raw = prepare(spark).read.option("header", True).csv(path)
+    raw = prepare(spark).read.options(**CSV).csv(path)
     require_columns(raw, GOLD_INPUT_COLUMNS, "Silver file")
     known = {f.name: f.dataType for f in SILVER_SCHEMA.fields}
     return raw.select(
@@ -89,7 +106,7 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
-    raw = prepare(spark).read.option("header", True).csv(path)
+    raw = prepare(spark).read.options(**CSV).csv(path)
     require_columns(raw, GOLD_COLUMNS, "Gold file")
     return conform(raw.select(*[csv_null(F.col(c)).alias(c) for c in raw.columns]), GOLD_SCHEMA)
 
@@ -116,5 +133,19 @@ def read_kpis(spark: SparkSession, path: str) -> DataFrame:
     return _read_partitions(spark, path, KPI_SCHEMA, "window_date", T.DateType())
 
 
+def with_start_month(overrides: DataFrame) -> DataFrame:
+    return overrides.withColumn("start_month", F.date_format("event_start_utc", "yyyy-MM"))
+
+
+def write_overrides(overrides: DataFrame, path: str) -> None:
+    """Replaces the months present in `overrides`."""
+    write_partitions(with_start_month(overrides), path, "start_month")
+
+
+def read_override_months(spark: SparkSession, path: str) -> DataFrame:
+    """The override table with `start_month`, by which it is partitioned."""
+    return _read_partitions(spark, path, OVERRIDE_SCHEMA, "start_month", T.StringType())
+
+
 def read_overrides(spark: SparkSession, path: str) -> DataFrame:
-    return prepare(spark).read.schema(OVERRIDE_SCHEMA).parquet(path)
+    return read_override_months(spark, path).drop("start_month")

@@ -11,27 +11,25 @@ from windrose.plans.silver import silver
 from windrose.schemas import SNAPSHOT_SCHEMA
 from windrose.session import prepare
 from windrose.sources.snapshots import explode_states, latest_documents, write_snapshots
-from windrose.sources.tables import in_partitions_of, read_silver, write_silver
+from windrose.sources.tables import existing_folders, read_silver_windows, write_silver
 
 KEY = T.StructField("window_key", T.StringType())
 
 
-def refresh_windows(
-    raw: DataFrame, changed: DataFrame, silver_path: str, fact_path: str
-) -> None:
-    """Rebuild the `changed` windows from their `raw` rows: replace silver, upsert KPIs.
+def refresh_windows(raw: DataFrame, keys: list, silver_path: str, fact_path: str) -> None:
+    """Rebuild the windows `keys` from their `raw` rows: replace silver, upsert KPIs.
 
     `raw` holds those windows whole. KPI rows of countries that a window no longer reports stay.
+    Only the folders of these windows are read again, so the cost does not grow with the history.
     """
     spark = raw.sparkSession
     write_silver(silver(raw), silver_path)
-    rebuilt = in_partitions_of(read_silver(spark, silver_path), changed, "window_key")
-    upsert_kpis(spark, gold_kpis(rebuilt), fact_path)
+    upsert_kpis(spark, gold_kpis(read_silver_windows(spark, silver_path, keys)), fact_path)
 
 
 def run_incremental(
     arrivals: DataFrame,
-    read_windows: Callable[[DataFrame], DataFrame],
+    read_windows: Callable[[list], DataFrame],
     *,
     silver_path: str,
     fact_path: str,
@@ -41,13 +39,14 @@ def run_incremental(
 
     `arrivals` is a stream with `window_key`; a micro-batch only says which windows changed.
     `read_windows` then reads those windows whole, so a window whose files arrive in different
-    micro-batches, or that is landed again, ends up as one batch run over the landed files.
+    micro-batches, or that is landed again, ends up as one batch run over the landed files. The
+    keys of a micro-batch, one for each window in it, pass through the driver.
     """
 
     def process(batch: DataFrame, _: int) -> None:
-        changed = batch.select("window_key").distinct().persist()
-        refresh_windows(read_windows(changed), changed, silver_path, fact_path)
-        changed.unpersist()
+        keys = sorted((r[0] for r in batch.select("window_key").distinct().collect()), key=str)
+        if keys:
+            refresh_windows(read_windows(keys), keys, silver_path, fact_path)
 
     (
         arrivals.writeStream.foreachBatch(process)
@@ -89,9 +88,10 @@ def run_snapshot_stream(
     """Incremental run over landed snapshot documents (see `write_snapshots`)."""
     schema = T.StructType([*SNAPSHOT_SCHEMA.fields, KEY])
 
-    def read_windows(changed: DataFrame) -> DataFrame:
-        landed = spark.read.schema(schema).option("mode", "FAILFAST").json(bronze_path)
-        return explode_states(in_partitions_of(landed, changed, "window_key"))
+    def read_windows(keys: list) -> DataFrame:
+        folders = existing_folders(spark, bronze_path, "window_key", keys)
+        reader = spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", bronze_path)
+        return explode_states(reader.json(folders))
 
     arrivals = file_stream(spark, "json", schema, bronze_path, files_per_batch)
     run_incremental(
@@ -116,9 +116,10 @@ def run_state_stream(
     """Incremental run over landed state rows, parquet partitioned by `window_key`."""
     schema = T.StructType([*raw_schema.fields, KEY])
 
-    def read_windows(changed: DataFrame) -> DataFrame:
-        landed = spark.read.schema(schema).parquet(raw_path)
-        return in_partitions_of(landed, changed, "window_key").drop("window_key")
+    def read_windows(keys: list) -> DataFrame:
+        folders = existing_folders(spark, raw_path, "window_key", keys)
+        reader = spark.read.schema(schema).option("basePath", raw_path)
+        return reader.parquet(*folders).drop("window_key")
 
     arrivals = file_stream(spark, "parquet", schema, raw_path, files_per_batch)
     run_incremental(
