@@ -8,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from windrose.operators.checks import require_columns, require_keyed
-from windrose.operators.frames import newest_rows, with_row_position, with_trailing_frames
+from windrose.operators.frames import Trailing, newest_rows, parts_of_newest, with_trailing
+from windrose.operators import intervals
 from windrose.operators.intervals import best_covering
 from windrose.operators.latest import latest_per_key
 from windrose.operators.upsert import merge_kpis, upsert_kpis
@@ -34,33 +35,55 @@ def history(spark, rows=700):
     return spark.createDataFrame(data, "key string, at long, v double")
 
 
-def test_row_positions_equal_row_number(spark):
-    df = history(spark)
-    ours = with_row_position(df, ["key"], "at", F.floor(F.col("at") / 500), "n")
-    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("at")))
-    assert ours.select("key", "at", "n").exceptAll(plain.select("key", "at", "n")).isEmpty()
-    assert ours.count() == df.count()
-
-
-@pytest.mark.parametrize("block_rows", [49, 64, 4096])
-def test_trailing_frames_equal_plain_windows(spark, block_rows):
-    df = history(spark)
+def test_trailing_frames_equal_plain_windows(spark):
+    df = history(spark).withColumn("v", F.when(F.col("at") % 7 != 0, F.col("v") / 8))
     frames = {
-        "mean": (F.avg("v"), -48, -1),
-        "sd": (F.stddev_samp("v"), -48, -1),
-        "six": (F.sum("v"), -5, 0),
+        "mean": Trailing("v", 48, skip=1, deviation="sd"),
+        "six": Trailing("v", 6),
+        "one": Trailing("at", 1, skip=2),
     }
-    ours = with_trailing_frames(df, "key", "at", F.floor(F.col("at") / 500), frames, block_rows)
+    ours = with_trailing(df, "key", "at", frames)
     w = Window.partitionBy("key").orderBy("at")
+    past = w.rowsBetween(-48, -1)
     plain = df.select(
-        "*", *[agg.over(w.rowsBetween(lo, hi)).alias(n) for n, (agg, lo, hi) in frames.items()]
+        "*",
+        F.avg("v").over(past).alias("mean"),
+        F.stddev_samp("v").over(past).alias("sd"),
+        F.avg("v").over(w.rowsBetween(-5, 0)).alias("six"),
+        F.avg("at").over(w.rowsBetween(-2, -2)).alias("one"),
     )
-    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
+    assert set(ours.columns) == set(plain.columns)
+    pairs = zip(sorted(ours.select(plain.columns).collect()), sorted(plain.collect()), strict=True)
+    for a, b in pairs:
+        assert a[:3] == b[:3]
+        for x, y in zip(a[3:], b[3:], strict=True):
+            assert x == (None if y is None else pytest.approx(y, abs=1e-9))
+
+
+def test_trailing_frames_of_a_constant_history_have_no_deviation(spark):
+    df = spark.range(300).select(F.lit("k").alias("key"), "id", F.lit(0.1).alias("v"))
+    frames = {"mean": Trailing("v", 48, skip=1, deviation="sd")}
+    rows = with_trailing(df, "key", "id", frames).where("id > 1").collect()
+    assert {r.sd for r in rows} == {0.0}
+    assert all(r.mean == pytest.approx(0.1, abs=1e-15) for r in rows)
 
 
-def test_trailing_frames_need_room(spark):
-    with pytest.raises(ValueError):
-        with_trailing_frames(history(spark), "key", "at", F.lit(0), {"m": (F.avg("v"), -48, -1)}, 48)
+def test_trailing_frames_sort_once(spark):
+    frames = {"mean": Trailing("v", 48, skip=1, deviation="sd"), "six": Trailing("v", 6)}
+    plan = physical(with_trailing(history(spark), "key", "at", frames))
+    assert plan.count("Exchange") == 1
+    assert plan.count("Sort [") == 1
+
+
+def test_parts_of_newest_hold_just_enough(spark):
+    df = history(spark).withColumn("part", F.floor(F.col("at") / 100))
+    parts = parts_of_newest(df, ["key"], "part", 30)
+    near = df.join(parts, ["key", "part"], "left_semi")
+    newest = newest_rows(df, "key", "at", 30).drop("rn")
+    assert newest.exceptAll(near.select(newest.columns)).isEmpty()
+    oldest = parts.groupBy("key").agg(F.min("part").alias("part"))
+    later = near.join(oldest, ["key", "part"], "left_anti").groupBy("key").count()
+    assert all(r["count"] < 30 for r in later.collect())
 
 
 def test_newest_rows_limits_groups_before_the_shuffle(spark):
@@ -84,14 +107,14 @@ def test_best_covering_equals_brute_force(spark, grid):
     random.seed(grid)
     span = 400 * grid
     points = [(i, random.choice("abAB"), random.randrange(0, span // grid) * grid) for i in range(300)]
-    intervals = []
+    spans = []
     for i in range(200):
         first = random.randrange(-span, span)
         last = first + random.choice([0, -5, random.randrange(3 * grid), random.randrange(3 * span)])
-        intervals.append((i, random.choice("aBc"), first, last, random.randrange(8)))
+        spans.append((i, random.choice("aBc"), first, last, random.randrange(8)))
     ours = best_covering(
         spark.createDataFrame(points, "id int, name string, at long"),
-        spark.createDataFrame(intervals, "event int, place string, first long, last long, rank int"),
+        spark.createDataFrame(spans, "event int, place string, first long, last long, rank int"),
         point_keys=["id"],
         point_match=F.upper("name"),
         point_second=F.col("at"),
@@ -104,7 +127,7 @@ def test_best_covering_equals_brute_force(spark, grid):
     for i, name, at in points:
         fits = [
             (rank, event)
-            for event, place, first, last, rank in intervals
+            for event, place, first, last, rank in spans
             if place.upper() == name.upper() and first <= at <= last
         ]
         if fits:
@@ -112,6 +135,18 @@ def test_best_covering_equals_brute_force(spark, grid):
     assert {r.id: (r["rank"], r.event) for r in ours.collect()} == expected
 
 
+def test_blocks_of_an_interval_do_not_depend_on_the_points(spark):
+    """A ten-year interval and one window off the grid: a few blocks per level, not thousands."""
+    ten_years = 315_360_000
+    for first, last in ((0, ten_years), (7, ten_years + 11), (1, 2)):
+        span = spark.range(1).select(F.lit(first).cast("long").alias("a"), F.lit(last + 1).cast("long").alias("b"))
+        blocks = span.select(F.explode(intervals._covering_blocks(F.col("a"), F.col("b"))).alias("x")).select("x.*")
+        rows = blocks.collect()
+        assert len(rows) <= 2 * sum(b // a for a, b in zip(intervals._BLOCKS, intervals._BLOCKS[1:])) + 4
+        seconds = sum(intervals._BLOCKS[r.level] for r in rows)
+        assert seconds == last + 1 - first
+
+
 def test_required_columns_are_named_in_order(spark):
     with pytest.raises(ValueError, match=r"\['a', 'c'\]"):
         require_columns(spark.range(1).withColumnRenamed("id", "b"), ["c", "b", "a"], "Table")

@@ -5,9 +5,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from windrose.operators.upsert import upsert_kpis, upsert_overrides
 from windrose.plans import risk, views
+from windrose.plans.overrides import checked_overrides
 from windrose.schemas import GOLD_SCHEMA, OVERRIDE_SCHEMA
-from windrose.session import staged
+from windrose.session import new_path, staged
+from windrose.sources.tables import read_kpis
 
 T0 = datetime(2024, 1, 1)
 LONG = ("2024-01-01", "2024-02-01")
@@ -221,5 +224,75 @@ def test_plan_shapes(spark):
     plan = risk.country_disruption_risk(df, table)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     board = views.global_risk_board(df, table)._jdf.queryExecution().executedPlan().toString()
-    assert board.index("WindowGroupLimit") < board.rindex("WindowGroupLimit")
     assert "BroadcastNestedLoopJoin" not in board
+
+
+def dated_fact(spark, path, rows):
+    upsert_kpis(spark, kpis(spark, rows), path)
+    return read_kpis(spark, path)
+
+
+def long_history(days=40):
+    """X reports always, Gaps on some days, Young only lately, Silent long ago."""
+    rows = [(48 * d + 12 * i, "X", 30 + (d * 7 + i) % 9, float((d * 3 + i) % 13), 1.0) for d in range(days) for i in range(4)]
+    rows += [(48 * d + 12 * i, "Gaps", 20 + i, float(d % 11), 2.0) for d in range(0, days, 3) for i in range(4)]
+    rows += [(48 * (days - 1) + 12 * i, "Young", 9 + i, float(i), 3.0) for i in range(4)]
+    rows += [(48 * d, "Silent", 5, float(d % 4), 4.0) for d in range(5)]
+    rows += [(48 * (days - 1) + 36, "Gaps", 25, 8.0, 2.0)] if (days - 1) % 3 else []
+    return rows
+
+
+def test_latest_products_read_only_the_days_they_need(spark):
+    path = new_path(spark, "fact")
+    fact = dated_fact(spark, path, long_history())
+    table = events(spark)
+    full = risk.country_disruption_risk(fact, table)
+    latest, expected = risk.latest_risk(fact, table), risk.at_latest_window(full, fact)
+    assert latest.count() == expected.count() == 3
+    assert latest.exceptAll(expected.select(latest.columns)).isEmpty()
+    for rows in (1, 3):
+        newest = risk.newest_risk(fact, table, rows)
+        ranked = risk.newest_rows(full, "origin_country", "window_start", rows)
+        assert newest.count() == ranked.count()
+        assert newest.exceptAll(ranked.select(newest.columns)).isEmpty()
+
+
+def test_a_young_fact_prunes_to_its_newest_days(spark):
+    path = new_path(spark, "fact")
+    fact = dated_fact(spark, path, [r for r in long_history() if r[1] == "X"])
+    needed = risk.parts_of_newest(fact, ["origin_country"], "window_date", 49).count()
+    assert needed == 13  # four rows a day
+    plan = risk.newest_history(fact, 49)._jdf.queryExecution().executedPlan().toString()
+    assert path not in plan  # what follows reads the staged rows only
+
+
+def test_views_follow_a_load(spark):
+    fact, overrides = new_path(spark, "fact"), new_path(spark, "overrides")
+    event = {"ordinal": 0, "region_type": "country", "region_value": "X", "event_type": "storm", "source": "s",
+             "notes": "n", "severity_score": "90", "min_disruption_band": "high", "event_start_utc": "2024-01-01",
+             "event_end_utc": "2024-02-01", "is_active": "true"}
+
+    def load(rows, region):
+        upsert_kpis(spark, kpis(spark, rows), fact)
+        raw = spark.createDataFrame([tuple({**event, "region_value": region}.values())], "ordinal long, " + ", ".join(f"{c} string" for c in list(event)[1:]))
+        upsert_overrides(spark, checked_overrides(raw), overrides)
+        return views.refresh_views(spark, fact, overrides, F.lit("2024-01-02").cast("timestamp"))
+
+    counts = lambda names: {n: spark.sql(f"SELECT * FROM {n}").count() for n in names}
+    names = load([(i, "X", 40, float(i % 7), 1.0) for i in range(60)], "X")
+    before = counts(names)
+    names = load([(i, c, 40, float(i % 5), 1.0) for i in range(50, 70) for c in ("X", "Y")], "Y")
+    after = counts(names)
+    assert (before["flight_kpis"], after["flight_kpis"]) == (60, 90)
+    assert (before["v_country_disruption_risk"], after["v_country_disruption_risk"]) == (60, 90)
+    assert (before["v_active_event_overrides"], after["v_active_event_overrides"]) == (1, 2)
+    assert (before["v_exec_global_risk_board_latest"], after["v_exec_global_risk_board_latest"]) == (1, 2)
+    assert after["v_decision_confidence_monitor"] == 70
+    assert after["v_country_deep_dive_trend"] == 90
+    assert after["v_worsening_risk_detection"] == after["v_capacity_allocation_candidates_latest"] == 2
+
+
+def test_numbered_reports_share_places_on_ties(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("a", 2), ("b", 5)], "g string, v int")
+    rows = views.numbered(df, [F.desc("v")], "g").collect()
+    assert sorted((r.g, r.v, r.position) for r in rows) == [("a", 1, 3), ("a", 2, 1), ("a", 2, 1), ("b", 5, 1)]

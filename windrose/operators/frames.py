@@ -1,84 +1,74 @@
-"""Row positions and trailing row frames that split long keys over many tasks."""
+"""Trailing row frames by running sums, and the newest rows per key."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
+from windrose.functions.numeric import exact
 
-Frame = tuple[Column, int, int]
-"""An aggregate and the first and last row of its frame, relative to the current row."""
+# Six digits after the point; a million rows of values below the limit sum up, squared, exactly.
+_VALUE, _LIMIT = "decimal(14,6)", 1e8
+_RUNNING, _RUNNING_SQUARES = "decimal(24,6)", "decimal(36,12)"
+_FRAME, _FRAME_SQUARES = "decimal(18,6)", "decimal(33,12)"
 
 
-def with_row_position(
-    df: DataFrame, keys: Sequence[str], order: str, chunk: Column, name: str = "_position"
-) -> DataFrame:
-    """Add each row's 1-based position in its key's order.
+@dataclass(frozen=True)
+class Trailing:
+    """Mean, and on demand deviation, of a measure over `rows` rows that end `skip` rows back."""
 
-    `chunk` must not decrease as `order` grows. Rows are numbered inside (key, chunk), and the
-    small table of chunk sizes supplies how many rows come before; no task orders a whole key.
-    """
-    keys = list(keys)
-    by_chunk = Window.partitionBy(*keys, "_chunk").orderBy(order)
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    sizes = df.groupBy(*keys, chunk.alias("_chunk")).agg(F.count("*").alias("_rows"))
-    offsets = sizes.select(
-        *keys, "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    return (
-        df.withColumn("_chunk", chunk)
-        .withColumn("_in_chunk", F.row_number().over(by_chunk))
-        .join(offsets, [*keys, "_chunk"])
-        .withColumn(name, F.col("_offset") + F.col("_in_chunk"))
-        .drop("_chunk", "_in_chunk", "_offset")
-    )
+    measure: str
+    rows: int
+    skip: int = 0
+    deviation: str | None = None
 
 
-def with_trailing_frames(
-    df: DataFrame,
-    key: str,
-    order: str,
-    chunk: Column,
-    frames: dict[str, Frame],
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Add aggregates over row frames `lo..hi` (hi <= 0) that look back from each row.
+def with_trailing(df: DataFrame, key: str, order: str, frames: dict[str, Trailing]) -> DataFrame:
+    """Adds the mean of each frame under its name, and its sample deviation under `deviation`.
 
-    `frames` maps an output name to (aggregate, lo, hi). The key's rows are cut into blocks of
-    `block_rows`; the last rows of a block are also sent to the next one, where they only fill
-    frames. Frames count rows, so the cut is by position: gaps in time do not matter.
+    One growing frame per key carries exact decimal sums; a frame is the difference of two of them,
+    so a row costs the same whatever the frame's length, and a key's rows stream through its task
+    without being held. Sums are exact, hence a constant history has deviation zero, and the result
+    does not depend on where the history starts. Frames may hold up to 1000 rows; nulls do not count.
     """
-    reach = max(-lo for _, lo, _ in frames.values())
-    if reach >= block_rows:
-        raise ValueError("block_rows must exceed the longest frame")
-    index = F.col("_position") - 1
-    own = F.floor(index / block_rows)
-    homes = F.when(
-        F.pmod(index, F.lit(block_rows)) >= block_rows - reach, F.array(own, own + 1)
-    ).otherwise(F.array(own))
-    blocks = (
-        with_row_position(df, [key], order, chunk)
-        .withColumn("_own", own)
-        .withColumn("_block", F.explode(homes))
-    )
-    by_block = Window.partitionBy(key, "_block").orderBy(order)
-    return (
-        add_frames(blocks, by_block, frames)
-        .filter(F.col("_block") == F.col("_own"))
-        .drop("_position", "_own", "_block")
-    )
+    by_key = Window.partitionBy(key).orderBy(order)
+    grown = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    measures = sorted({f.measure for f in frames.values()})
+    squared = {f.measure for f in frames.values() if f.deviation}
+    running = {}
+    for m in measures:
+        value = exact(F.col(m), _VALUE, _LIMIT)
+        running[f"_n_{m}"] = F.count(m).over(grown)
+        running[f"_s_{m}"] = F.sum(value).over(grown).cast(_RUNNING)
+        if m in squared:
+            running[f"_q_{m}"] = F.sum(value * value).over(grown).cast(_RUNNING_SQUARES)
+    sums = df.select("*", *[c.alias(n) for n, c in running.items()])
 
+    def before(column: str, back: int) -> Column:
+        """The running sum `back` rows earlier; zero before the first row."""
+        zero = F.lit(0).cast(sums.schema[column].dataType)
+        earlier = F.col(column) if back == 0 else F.lag(column, back).over(by_key)
+        return F.coalesce(earlier, zero)
 
-def add_frames(df: DataFrame, window, frames: dict[str, Frame]) -> DataFrame:
-    """Frame aggregates over one shared window, which Spark sorts once."""
-    return df.select(
-        "*", *[agg.over(window.rowsBetween(lo, hi)).alias(n) for n, (agg, lo, hi) in frames.items()]
-    )
+    parts = {}
+    for name, f in frames.items():
+        for kind, sized in (("n", "long"), ("s", _FRAME), ("q", _FRAME_SQUARES)):
+            column = f"_{kind}_{f.measure}"
+            if column in running and (kind != "q" or f.deviation):
+                last, first = before(column, f.skip), before(column, f.skip + f.rows)
+                parts[f"{column}_{name}"] = (last - first).cast(sized)
+    framed = sums.select("*", *[c.alias(n) for n, c in parts.items()])
+
+    results = {}
+    for name, f in frames.items():
+        n, s = (F.col(f"_{kind}_{f.measure}_{name}") for kind in "ns")
+        results[name] = s.cast("double") / F.nullif(n, F.lit(0))
+        if f.deviation:
+            q = F.col(f"_q_{f.measure}_{name}")
+            spread = (q * n.cast("decimal(3,0)") - s * s).cast("double")
+            results[f.deviation] = F.when(n > 1, F.sqrt(spread / (n * (n - 1))))
+    return framed.withColumns(results).drop(*running, *parts)
 
 
 def newest_rows(df: DataFrame, key: str, order: str, rows: int) -> DataFrame:
@@ -88,3 +78,18 @@ def newest_rows(df: DataFrame, key: str, order: str, rows: int) -> DataFrame:
     """
     by_recency = Window.partitionBy(key).orderBy(F.desc(order))
     return df.withColumn("rn", F.row_number().over(by_recency)).filter(F.col("rn") <= rows)
+
+
+def parts_of_newest(df: DataFrame, keys: Sequence[str], part: str, rows: int) -> DataFrame:
+    """(key, part): for each key the newest parts that together hold its last `rows` rows.
+
+    `part` must not decrease as rows get newer. Only the key and part columns are read.
+    """
+    newer = (
+        Window.partitionBy(*keys)
+        .orderBy(F.desc(part))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counts = df.groupBy(*keys, part).agg(F.count("*").alias("_rows"))
+    seen = F.coalesce(F.sum("_rows").over(newer), F.lit(0))
+    return counts.withColumn("_seen", seen).filter(F.col("_seen") < rows).select(*keys, part)

@@ -38,9 +38,9 @@ def with_measures(silver: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "is_active": airborne,
-                "velocity_active": F.when(airborne, F.col("velocity")),
-                "geo_altitude_active": F.when(airborne, F.col("geo_altitude")),
-                "vertical_rate_abs_active": F.when(airborne, F.abs("vertical_rate")),
+                "airborne_velocity": F.when(airborne, F.col("velocity")),
+                "airborne_altitude": F.when(airborne, F.col("geo_altitude")),
+                "airborne_vertical_speed": F.when(airborne, F.abs("vertical_rate")),
                 "is_complete": F.col("icao24").isNotNull()
                 & F.col("velocity").isNotNull()
                 & F.col("last_contact").isNotNull(),
@@ -65,8 +65,8 @@ def mean_kpis() -> list[Column]:
         return half_even(F.coalesce(exact_mean(F.col(measure)), F.lit(0.0)), 4)
 
     return [
-        mean("velocity_active").alias("avg_velocity_active"),
-        mean("vertical_rate_abs_active").alias("avg_abs_vertical_rate_active"),
+        mean("airborne_velocity").alias("avg_velocity_active"),
+        mean("airborne_vertical_speed").alias("avg_abs_vertical_rate_active"),
     ]
 
 
@@ -87,8 +87,8 @@ def quantile_kpis(measures: DataFrame) -> DataFrame:
         measures,
         KPI_KEY,
         {
-            "p90_velocity_active": (F.col("velocity_active"), 0.90),
-            "median_geo_altitude_active": (F.col("geo_altitude_active"), 0.50),
+            "p90_velocity_active": (F.col("airborne_velocity"), 0.90),
+            "median_geo_altitude_active": (F.col("airborne_altitude"), 0.50),
         },
     )
 

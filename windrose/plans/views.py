@@ -3,7 +3,7 @@
 Each product is an unordered `*_view`, for SQL and further work, and a report in its usual order.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windrose.functions.numeric import exact_mean, half_up
@@ -13,6 +13,7 @@ from windrose.plans.risk import (
     newest_risk,
     risk_with_moving_averages,
 )
+from windrose.sources.tables import read_kpis, read_overrides
 
 # Thresholds and texts of the products.
 MIN_TREND_FLIGHTS = 20
@@ -43,9 +44,35 @@ def recommended_action() -> Column:
     return action.otherwise(ACTION_NONE)
 
 
+def newest_first() -> list[Column]:
+    return [F.desc("window_start")]
+
+
+def gravest_first() -> list[Column]:
+    return [F.desc("disruption_risk_zscore"), F.desc("total_flights")]
+
+
+def worst_first() -> list[Column]:
+    """Highest risk first; unknown changes sort before known ones."""
+    return [F.desc("risk_z_now"), F.desc_nulls_first("stress_delta_1_window")]
+
+
+def most_impact_first() -> list[Column]:
+    return [F.desc("impact_score"), F.asc("origin_country")]
+
+
+def most_severe_first() -> list[Column]:
+    return [F.desc("severity_score"), F.desc("event_start_utc")]
+
+
+def numbered(rows: DataFrame, order: list[Column], *within: str) -> DataFrame:
+    """Adds the place of each row in a report's order, equal for ties, of all rows or in a group."""
+    return rows.withColumn("position", F.rank().over(Window.partitionBy(*within).orderBy(*order)))
+
+
 def risk_history(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
     """All risk rows, newest window first."""
-    return country_disruption_risk(kpis, overrides).orderBy(F.desc("window_start"))
+    return country_disruption_risk(kpis, overrides).orderBy(*newest_first())
 
 
 def global_risk_board_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -74,9 +101,7 @@ def global_risk_board_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
 
 def global_risk_board(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
     """The board, gravest first."""
-    return global_risk_board_view(kpis, overrides).orderBy(
-        F.desc("disruption_risk_zscore"), F.desc("total_flights")
-    )
+    return global_risk_board_view(kpis, overrides).orderBy(*gravest_first())
 
 
 def country_trend_view(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -108,7 +133,7 @@ def country_trend(
     """The history of one country or all, newest first."""
     if country is not None:
         kpis = kpis.filter(F.col("origin_country") == country)
-    return country_trend_view(kpis, overrides).orderBy(F.desc("window_start"))
+    return country_trend_view(kpis, overrides).orderBy(*newest_first())
 
 
 def last_three_windows(newest: DataFrame) -> DataFrame:
@@ -170,10 +195,8 @@ def worsening_risk_view(
 def worsening_risk(
     kpis: DataFrame, overrides: DataFrame, min_flights: int = MIN_TREND_FLIGHTS
 ) -> DataFrame:
-    """The changes, highest risk first; unknown changes sort before known ones."""
-    return worsening_risk_view(kpis, overrides, min_flights).orderBy(
-        F.desc("risk_z_now"), F.desc_nulls_first("stress_delta_1_window")
-    )
+    """The changes, highest risk first."""
+    return worsening_risk_view(kpis, overrides, min_flights).orderBy(*worst_first())
 
 
 def impact_score() -> Column:
@@ -213,7 +236,7 @@ def capacity_candidates(
     """The `top` countries by flights at risk; the name settles ties."""
     return (
         capacity_candidates_view(kpis, overrides, min_flights)
-        .orderBy(F.desc("impact_score"), "origin_country")
+        .orderBy(*most_impact_first())
         .limit(top)
     )
 
@@ -240,7 +263,7 @@ def confidence_monitor_view(kpis: DataFrame) -> DataFrame:
 
 def confidence_monitor(kpis: DataFrame) -> DataFrame:
     """The monitor, newest window first."""
-    return confidence_monitor_view(kpis).orderBy(F.desc("window_start"))
+    return confidence_monitor_view(kpis).orderBy(*newest_first())
 
 
 def active_overrides_view(overrides: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -268,9 +291,7 @@ def active_overrides_view(overrides: DataFrame, as_of: Column | None = None) ->
 
 def active_overrides(overrides: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Overrides in force, gravest first."""
-    return active_overrides_view(overrides, as_of).orderBy(
-        F.desc("severity_score"), F.desc("event_start_utc")
-    )
+    return active_overrides_view(overrides, as_of).orderBy(*most_severe_first())
 
 
 def switched_on(overrides: DataFrame) -> DataFrame:
@@ -281,7 +302,10 @@ def switched_on(overrides: DataFrame) -> DataFrame:
 def register_views(
     spark: SparkSession, kpis: DataFrame, overrides: DataFrame, as_of: Column | None = None
 ) -> list[str]:
-    """Make the two tables and the seven products available to SQL; returns their names."""
+    """Make the two tables and the seven products available to SQL; returns their names.
+
+    The views show the tables as they are now. After a load, `refresh_views` shows the new state.
+    """
     products = {
         "flight_kpis": kpis,
         "regional_event_overrides": overrides,
@@ -296,3 +320,13 @@ def register_views(
     for name, view in products.items():
         view.createOrReplaceTempView(name)
     return list(products)
+
+
+def refresh_views(
+    spark: SparkSession, fact_path: str, overrides_path: str, as_of: Column | None = None
+) -> list[str]:
+    """Registers all views anew over the stored tables; call it after every load.
+
+    A view, like any DataFrame, holds the file listing of its tables, and a load replaces files.
+    """
+    return register_views(spark, read_kpis(spark, fact_path), read_overrides(spark, overrides_path), as_of)
