@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrose.functions.numeric import half_even, half_up
-from windrose.operators.upsert import upsert_kpis
+from windrose.operators.upsert import upsert_kpis, upsert_overrides
 from windrose.plans import gold, overrides, risk, silver, views
 from windrose.schemas import (
+    CSV,
     GOLD_SCHEMA,
     INGESTION_FIELD,
     KPI_KEY,
@@ -49,6 +50,9 @@ _FIRST_BATCH_UNTIL = "2024-01-20 06:00:00"
 _LOADED_AT = "2024-02-01 00:00:00"
 _RELOADED_AT = "2024-02-02 00:00:00"
 _AS_OF = "2024-01-15 12:00:00"
+_REPLAYED_FROM, _REPLAYED_TO = "2024-01-12 00:00:00", "2024-01-14 00:00:00"
+_GONE_COUNTRY = " ASIA"
+_ONE_COUNTRY = "ASIA"
 
 _STATES_PER_DOCUMENT = 5000
 
@@ -138,9 +142,9 @@ def snapshot_metadata(spark, folder):
 def kpi_csv_round_trip(spark, folder):
     """KPIs of silver that went through CSV files, themselves through CSV files."""
     silver_path, gold_path = new_path(spark, "silver"), new_path(spark, "gold")
-    _silver(spark, folder).write.option("header", True).csv(silver_path)
+    _silver(spark, folder).write.options(**CSV).csv(silver_path)
     kpis = gold.gold_kpis(read_silver_csv(spark, silver_path))
-    kpis.write.option("header", True).csv(gold_path)
+    kpis.write.options(**CSV).csv(gold_path)
     return read_gold_csv(spark, gold_path)
 
 
@@ -152,7 +156,7 @@ def override_csv_scan(spark, folder):
     path = new_path(spark, "overrides-csv")
     raw = read_raw_overrides(spark, folder).select(*OVERRIDE_INPUT_COLUMNS)
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    raw.write.options(header=True, **keep).csv(path)
+    raw.write.options(**CSV, **keep).csv(path)
     return _as_read(read_override_csv(spark, path))
 
 
@@ -211,9 +215,9 @@ def gold_measures(spark, folder):
         *KPI_KEY,
         "icao24",
         "is_active",
-        "velocity_active",
-        "geo_altitude_active",
-        "vertical_rate_abs_active",
+        "airborne_velocity",
+        "airborne_altitude",
+        "airborne_vertical_speed",
         "is_complete",
     )
 
@@ -342,10 +346,13 @@ def recommended_action(spark, folder):
 
 
 def impact_top20(spark, folder):
+    """Flights at risk at the latest window, without the least number of flights."""
+    latest = risk.latest_risk(_kpis(spark, folder), _overrides(spark, folder))
     return (
-        _risk(spark, folder)
-        .select(*KPI_KEY, "total_flights", half_up(views.impact_score(), 2).alias("impact_score"))
-        .orderBy(F.desc("impact_score"), "origin_country", F.desc("window_start"))
+        latest.select(
+            *KPI_KEY, "total_flights", half_up(views.impact_score(), 2).alias("impact_score")
+        )
+        .orderBy(*views.most_impact_first())
         .limit(views.TOP_CANDIDATES)
     )
 
@@ -449,25 +456,63 @@ def kpi_schema_evolution(spark, folder):
     return read_kpis(spark, path).select(*GOLD_SCHEMA.fieldNames())
 
 
+def _land_states(raw: DataFrame, landed: str) -> None:
+    keyed = raw.withColumn("window_key", window_key(F.col("window_start")))
+    write_partitions(keyed, landed, "window_key")
+
+
+def _stream_of(spark: SparkSession, landed: str, schema) -> tuple[Callable[[], None], str]:
+    """A function that processes what has landed since its last call, and the fact it keeps."""
+    places = {
+        "silver_path": new_path(spark, "silver"),
+        "fact_path": new_path(spark, "fact"),
+        "checkpoint": new_path(spark, "progress"),
+    }
+    run = lambda: run_state_stream(spark, landed, schema, files_per_batch=24, **places)
+    return run, places["fact_path"]
+
+
 def kpi_incremental(spark, folder):
     """All state rows land as files and flow through the streaming job, some windows per batch."""
-    landed, silver_path, fact = (new_path(spark, p) for p in ("landed", "silver", "fact"))
+    landed = new_path(spark, "landed")
     raw = read_raw_states(spark, folder).drop("ts")
-    write_partitions(
-        raw.withColumn("window_key", window_key(F.col("window_start"))), landed, "window_key"
-    )
-    run_state_stream(
-        spark,
-        landed,
-        raw.schema,
-        silver_path=silver_path,
-        fact_path=fact,
-        checkpoint=new_path(spark, "progress"),
-        files_per_batch=24,
-    )
+    _land_states(raw, landed)
+    run, fact = _stream_of(spark, landed, raw.schema)
+    run()
+    return read_kpis(spark, fact).select(*GOLD_SCHEMA.fieldNames())
+
+
+def kpi_replay(spark, folder):
+    """Windows of some days land again without one country, whose old rows stay."""
+    landed = new_path(spark, "landed")
+    raw = read_raw_states(spark, folder).drop("ts")
+    _land_states(raw, landed)
+    run, fact = _stream_of(spark, landed, raw.schema)
+    run()
+    days = F.col("window_start").between(_moment(_REPLAYED_FROM), _moment(_REPLAYED_TO))
+    gone = F.coalesce(F.col("origin_country") == _GONE_COUNTRY, F.lit(False))
+    _land_states(raw.filter(days & ~gone), landed)
+    run()
     return read_kpis(spark, fact).select(*GOLD_SCHEMA.fieldNames())
 
 
+def views_after_upsert(spark, folder):
+    """The views are registered over a first load and asked after a second one."""
+    fact, events = new_path(spark, "fact"), new_path(spark, "events")
+    rows = overrides.checked_overrides(read_raw_incidents(spark, folder))
+    for batch in _batches(spark, folder):
+        upsert_kpis(spark, batch, fact)
+        upsert_overrides(spark, rows, events, _moment(_LOADED_AT))
+        views.refresh_views(spark, fact, events, _moment(_AS_OF))
+    return spark.sql(
+        "SELECT m.*, count(r.origin_country) AS risk_rows,"
+        " count_if(r.active_event_override) AS rows_with_event,"
+        " (SELECT count(*) FROM v_active_event_overrides) AS events_in_force"
+        " FROM v_decision_confidence_monitor m JOIN v_country_disruption_risk r USING (window_start)"
+        " GROUP BY ALL"
+    )
+
+
 # --- Products ---
 
 
@@ -475,6 +520,19 @@ def _product(view: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: view(_kpis(spark, folder), _overrides(spark, folder))
 
 
+def _ordered(
+    product: Query, order: Callable[[], list[Column]], *columns: str, within: tuple[str, ...] = ()
+) -> Query:
+    """A product's key columns with the place of each row in the report's order."""
+    return lambda spark, folder: views.numbered(product(spark, folder), order(), *within).select(
+        *columns, "position"
+    )
+
+
+def country_trend_of_one(spark, folder):
+    return views.country_trend(_kpis(spark, folder), _overrides(spark, folder), _ONE_COUNTRY)
+
+
 def confidence_monitor(spark, folder):
     return views.confidence_monitor(_gold(spark, folder))
 
@@ -531,6 +589,8 @@ QUERIES: dict[str, Query] = {
     "kpi_upsert": kpi_upsert,
     "kpi_schema_evolution": kpi_schema_evolution,
     "kpi_incremental": kpi_incremental,
+    "kpi_replay": kpi_replay,
+    "views_after_upsert": views_after_upsert,
     "country_disruption_risk": _risk,
     "global_risk_board_latest": _product(views.global_risk_board),
     "country_trend": _product(views.country_trend),
@@ -539,4 +599,21 @@ QUERIES: dict[str, Query] = {
     "confidence_monitor": confidence_monitor,
     "active_overrides": active_overrides,
     "switched_on_overrides": switched_on_overrides,
+    "country_trend_of_one": country_trend_of_one,
+    "history_order": _ordered(_risk, views.newest_first, *KPI_KEY, within=("origin_country",)),
+    "board_order": _ordered(_product(views.global_risk_board), views.gravest_first, *KPI_KEY),
+    "trend_order": _ordered(
+        _product(views.country_trend), views.newest_first, *KPI_KEY, within=("origin_country",)
+    ),
+    "worsening_order": _ordered(
+        _product(views.worsening_risk), views.worst_first, "latest_window", "origin_country"
+    ),
+    "capacity_order": _ordered(
+        _product(views.capacity_candidates), views.most_impact_first, "origin_country", "impact_score"
+    ),
+    "monitor_order": _ordered(confidence_monitor, views.newest_first, "window_start"),
+    "overrides_order": _ordered(
+        active_overrides, views.most_severe_first,
+        "region_value", "event_type", "severity_score", "event_start_utc", "event_end_utc",
+    ),
 }
