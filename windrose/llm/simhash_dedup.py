@@ -148,12 +148,12 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, most_in_list: int =
         return prints.select(F.col("print").alias("a"), F.col("print").alias("b")).limit(0)
     spark = prints.sparkSession
     # Spark cuts long lists before the shuffle as it needs only the first ranks.
-    rank = F.row_number().over(Window.partitionBy("key_no", "key").orderBy("print"))
+    rank = F.row_number().over(Window.partitionBy("key", "key_no").orderBy("print"))
     lists = (
         _postings(prints, max_bits)
         .withColumn("rank", rank)
         .where(F.col("rank") <= most_in_list + 1)
-        .groupBy("key_no", "key")
+        .groupBy("key", "key_no")
         .agg(F.collect_list("print").alias("prints"))
         .where(F.size("prints") > 1)
     )
