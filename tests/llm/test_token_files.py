@@ -40,6 +40,33 @@ def test_encoder_equals_library(library, monkeypatch):
             assert np.frombuffer(encoder.encoded(text), encoder.type).tolist() == ids_of(library, text), text
 
 
+@pytest.fixture(scope="module")
+def untouched():
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_added_tokens_equal_the_untouched_library(untouched, monkeypatch):
+    rng = random.Random(5)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext|>  a", "a  <|endoftext|>", "<|endoftext"]
+    texts += ["".join(rng.choices([*ATOMS, "<|endoftext|>", "<|"], k=rng.randrange(1, 60))) for _ in range(2000)]
+    encoder = token_files._encoder(public_tokenizer())
+    assert encoder.cuttable
+    for piece in (1 << 20, 20):
+        monkeypatch.setattr(token_files, "_PIECE", piece)
+        for text in texts:
+            assert np.frombuffer(encoder.encoded(text), encoder.type).tolist() == ids_of(untouched, text), text
+
+
+def test_query_encodes_added_tokens(spark, tmp_path, untouched):
+    texts = {1: "one <|endoftext|> two", 2: "three"}
+    spark.createDataFrame([*texts.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    start = 0
+    for row in sorted(token_files.op6_token_files(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        ids = np.array([*ids_of(untouched, texts[row.doc_id]), 0], "<u4")
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_other_tokenizers_are_not_cut():
     encoder = Encoder(public_tokenizer("word_bpe_49k.json"))
     assert not encoder.cuttable

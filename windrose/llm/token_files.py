@@ -13,7 +13,8 @@ a temporary name and moves it into place, so a task that runs again or twice lea
 one row for each part goes through one task, to sum up the parts before it.
 
 The encoder cuts texts at single spaces between two characters that are no white space, where the
-tokenizer's own pattern always cuts, and keeps the ids of recent pieces.
+tokenizer's own pattern always cuts, and keeps the ids of recent pieces. Strings of added tokens, special
+ones too, become those tokens' ids, as the library does by default; the text between them is cut.
 
 Defined results: a null text is empty and consists of the end id alone; a null doc_id comes first; rows
 that repeat an id are documents of their own, in the order of a hash of their texts; an empty table gives
@@ -107,19 +108,27 @@ class _Pieces(dict):
 class Encoder:
     """Text to ids with a tokenizer of the tokenizers library, given as its JSON.
 
-    Cuts texts into pieces only if the tokenizer is a byte-level one with the usual pattern.
+    Cuts texts into pieces only if the tokenizer is a byte-level one with the usual pattern. Without
+    `added_tokens` special tokens' strings are ordinary text.
     """
 
-    def __init__(self, definition: str) -> None:
+    def __init__(self, definition: str, added_tokens: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
         self.type = np.min_scalar_type(max(1, self.tokenizer.get_vocab_size() - 1))
         parts = json.loads(definition)
         before = parts.get("pre_tokenizer") or {}
         self.cuttable = not parts.get("normalizer") and before.items() >= _CUTTABLE.items()
+        added = parts.get("added_tokens") or [] if added_tokens else []
+        # Tokens that also take white space beside them, or whole words only, are left to the library.
+        plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+        self.cuttable = self.cuttable and plain
+        self._added = {t["content"]: t["id"] for t in added if t["content"]}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.pieces = _Pieces(self._encode, self._word)
         self._characters = _byte_characters()
         self._space = self._characters[ord(" ")]
@@ -152,7 +161,16 @@ class Encoder:
         """The ids as an array's bytes."""
         if not text:
             return b""
-        return b"".join(map(self._part, self._parts(text))) if self.cuttable else self._encode(text)
+        if not self.cuttable:
+            return self._encode(text)
+        if not any(map(text.__contains__, self._added)):
+            return b"".join(map(self._part, self._parts(text)))
+        runs = self._at_added.split(text)
+        return b"".join(
+            self._packed([self._added[run]]) if i % 2 else b"".join(map(self._part, self._parts(run)))
+            for i, run in enumerate(runs)
+            if run
+        )
 
     def _part(self, part: str) -> bytes:
         close = any(map(part.__contains__, _ASCII_CLOSE)) if part.isascii() else _CLOSE.search(part)
@@ -164,7 +182,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def _encoder(definition: str) -> Encoder:
-    return Encoder(definition)
+    return Encoder(definition, added_tokens=True)
 
 
 def _sequence_schema(kind: np.dtype, length: int) -> pa.Schema:
