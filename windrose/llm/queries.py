@@ -3,6 +3,7 @@
 from windrose.llm import (
     chat_format,
     decontaminate,
+    divergence,
     language_id,
     line_dedup,
     main_text,
@@ -24,6 +25,7 @@ _MODULES = [
     chat_format,
     line_dedup,
     language_id,
+    divergence,
 ]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
