@@ -7,6 +7,7 @@ from windrose.llm import (
     language_id,
     line_dedup,
     main_text,
+    packing,
     simhash_dedup,
     source_mix,
     token_files,
@@ -25,6 +26,7 @@ _MODULES = [
     chat_format,
     line_dedup,
     language_id,
+    packing,
     divergence,
 ]
 
