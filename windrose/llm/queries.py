@@ -2,6 +2,7 @@
 
 from windrose.llm import (
     chat_format,
+    collocations,
     decontaminate,
     divergence,
     language_id,
@@ -28,6 +29,7 @@ _MODULES = [
     language_id,
     packing,
     divergence,
+    collocations,
 ]
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
