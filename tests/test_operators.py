@@ -8,14 +8,21 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from windrose.operators.checks import require_columns, require_keyed
-from windrose.operators.frames import Trailing, newest_rows, parts_of_newest, with_trailing
+from windrose.operators.frames import (
+    Trailing,
+    newest_rows,
+    parts_of_newest,
+    with_trailing,
+    with_trailing_by_block,
+)
 from windrose.operators import intervals
 from windrose.operators.intervals import best_covering
 from windrose.operators.latest import latest_per_key
 from windrose.operators.upsert import merge_kpis, upsert_kpis
 from windrose.schemas import GOLD_SCHEMA
 from windrose.session import new_path
-from windrose.sources.tables import read_kpis, write_partitions
+from windrose.sources.tables import kpis_of, read_kpis, write_partitions
+from windrose.sources.versions import current_version, partitions_in
 
 T0 = datetime(2024, 1, 1)
 
@@ -75,6 +82,54 @@ def test_trailing_frames_sort_once(spark):
     assert plan.count("Sort [") == 1
 
 
+@pytest.mark.parametrize("days", [1, 3, 20, 10_000])
+def test_trailing_frames_by_block_are_the_same(spark, days):
+    """A hot key, one with long gaps, one with less rows than a frame, null values and a null key."""
+    random.seed(days)
+    rows, at = [], 0
+    for _ in range(900):
+        at += random.choice([0, 0, 0, 0, 1, 1, 5, 90])
+        rows.append(("hot", at, len(rows), random.choice([None, random.randrange(10**6) / 1000])))
+        if random.random() < 0.2:
+            rows.append((random.choice(["cold", "cold", None]), at, len(rows), float(random.randrange(100))))
+    rows += [("few", 3, 10**6, 1.0), ("few", 5000, 10**6 + 1, 2.0), ("new", None, 0, 1.5), ("new", 2, 7, 2.5)]
+    df = spark.createDataFrame(rows, "key string, n int, at long, v double")
+    df = df.select("key", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n")).alias("day"), "at", "v")
+    frames = {
+        "mean": Trailing("v", 48, skip=1, deviation="sd"),
+        "six": Trailing("v", 6),
+        "one": Trailing("v", 1, skip=2),
+    }
+    plain = with_trailing(df, "key", "at", frames)
+    blocks = with_trailing_by_block(df, "key", "at", "day", frames, days)
+    assert blocks.columns == plain.columns
+    assert sorted(map(tuple, blocks.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_a_hot_key_is_worked_on_by_many_tasks(spark):
+    """Half-hourly rows of two years, nine tenths of them of one key: no task holds two fifths of them."""
+    rows = spark.range(35_040).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id") % 7)).otherwise(F.lit("hot")).alias("key"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 48).cast("int")).alias("day"),
+        F.col("id").alias("at"),
+        (F.col("id") % 100).cast("double").alias("v"),
+    )
+    frames = {"mean": Trailing("v", 48, skip=1, deviation="sd")}
+    framed = with_trailing_by_block(rows.repartition(8), "key", "at", "day", frames)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = with_trailing(rows.repartition(8), "key", "at", frames)
+        sizes, whole = (
+            [r["rows"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.max("sd")).collect()]
+            for df in (framed, plain)
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == sum(whole) == 35_040
+    assert max(whole) >= 0.9 * 35_040
+    assert max(sizes) < 0.4 * 35_040
+
+
 def test_parts_of_newest_hold_just_enough(spark):
     df = history(spark).withColumn("part", F.floor(F.col("at") / 100))
     parts = parts_of_newest(df, ["key"], "part", 30)
@@ -202,11 +257,12 @@ def test_upsert_reads_only_touched_days(spark):
     upsert_kpis(spark, kpi_rows(spark, [(24 * day, "X", day) for day in range(30)]), path)
     rows = kpi_rows(spark, [(24 * 7, "X", 70), (24 * 9, "Y", 90)])
     dated = rows.withColumn("window_date", F.to_date("window_start"))
-    merged = merge_kpis(read_kpis(spark, path), dated)
+    version = current_version(spark, path, "window_date")
+    merged = merge_kpis(kpis_of(spark, path, version, partitions_in(dated, "window_date")), dated)
     assert sorted(r.total_flights for r in merged.collect()) == [9, 70, 90]
     execution = merged._jdf.queryExecution()
     scans = list_scans(execution.executedPlan())
-    assert min(scans) == 3  # of 30 files: days 7 to 9
+    assert min(scans) == 2  # of 30 files: days 7 and 9
 
 
 def list_scans(plan):

@@ -1,5 +1,6 @@
 """Risk model and products on small histories worked out by hand."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -296,3 +297,32 @@ def test_numbered_reports_share_places_on_ties(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("a", 2), ("b", 5)], "g string, v int")
     rows = views.numbered(df, [F.desc("v")], "g").collect()
     assert sorted((r.g, r.v, r.position) for r in rows) == [("a", 1, 3), ("a", 2, 1), ("a", 2, 1), ("b", 5, 1)]
+
+
+@pytest.mark.parametrize("within", [(), ("g",)])
+def test_places_by_block_equal_places_of_all(spark, within):
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.choice([None, 1.0, 2.5, 7.0]), rng.choice([None, *range(40)]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, severity double, at int, id int")
+    order = [F.desc("severity"), F.desc("at")]
+    blocks = {"severity": F.col("severity"), "tens": F.floor(F.col("at") / 10)}
+    plain = views.numbered(df, order, *within)
+    ours = views.numbered_by_block(df, order, blocks, *within)
+    assert ours.columns == plain.columns
+    assert sorted(map(tuple, ours.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    rising = views.numbered_by_block(df, [F.asc("at")], {"tens": F.floor(F.col("at") / 10)}, *within, descending=False)
+    expected = views.numbered(df, [F.asc("at")], *within)
+    assert sorted(map(tuple, rising.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_a_long_report_is_not_ranked_in_one_task(spark):
+    df = spark.range(20_000).select((F.col("id") * 1800).cast("timestamp").alias("window_start"))
+    ranked = views.numbered_by_block(df.repartition(8), [F.desc("window_start")], {"day": F.to_date("window_start")})
+    sizes = ranked.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.max("position").alias("last")).collect()
+    assert max(r["last"] for r in sizes) == sum(r["rows"] for r in sizes) == 20_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["rows"] for r in ranked.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.max("position")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) < 0.3 * 20_000

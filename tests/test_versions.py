@@ -1,0 +1,190 @@
+"""Loads that are whole or nothing, two loads at a time, and readers beside them."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from test_operators import kpi_rows
+
+from windrose.operators.upsert import upsert_kpis, upsert_overrides
+from windrose.session import new_path
+from windrose.sources import versions
+from windrose.sources.tables import kpis_of, read_kpis, read_overrides, write_partitions
+from windrose.sources.versions import (
+    ConflictingLoad,
+    NoSuchTable,
+    Version,
+    commit,
+    current_version,
+    expire_versions,
+    partition_name,
+    publish,
+    table_versions,
+)
+
+DAY = "window_date"
+
+
+def flights(df):
+    start = datetime(2024, 1, 1)
+    return {((r.window_start - start) // timedelta(days=1), r.origin_country): r.total_flights for r in df.collect()}
+
+
+def load(spark, path, *rows):
+    upsert_kpis(spark, kpi_rows(spark, [(24 * day, country, n) for day, country, n in rows]), path)
+
+
+def test_a_crash_before_publishing_leaves_every_day(spark, monkeypatch):
+    path = new_path(spark, "fact")
+    load(spark, path, (0, "X", 1), (1, "X", 2))
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(spark, path, (0, "X", 10), (1, "X", 20), (2, "X", 30))
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1, (1, "X"): 2}
+    load(spark, path, (1, "Y", 5))
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1, (1, "X"): 2, (1, "Y"): 5}
+
+
+def test_a_crash_while_writing_leaves_every_day(spark):
+    path = new_path(spark, "fact")
+    load(spark, path, (0, "X", 1))
+
+    def contents(version):
+        broken = F.when(F.col("total_flights") > 0, F.raise_error(F.lit("lost"))).otherwise(F.lit(0))
+        return kpis_of(spark, path, version).withColumn("total_flights", broken.cast("int")), {}
+
+    with pytest.raises(Exception, match="lost"):
+        commit(spark, path, DAY, contents)
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1}
+    assert table_versions(spark, path) == [1]
+
+
+def test_a_reader_keeps_its_version(spark):
+    path = new_path(spark, "fact")
+    load(spark, path, (0, "X", 1), (1, "X", 2))
+    held = read_kpis(spark, path)
+    load(spark, path, (0, "X", 10), (2, "X", 3))
+    assert flights(held) == {(0, "X"): 1, (1, "X"): 2}
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 10, (1, "X"): 2, (2, "X"): 3}
+    assert flights(read_kpis(spark, path, version=1)) == flights(held)
+    with pytest.raises(NoSuchTable, match="version 7"):
+        read_kpis(spark, path, version=7)
+
+
+def while_loading(monkeypatch, act):
+    """Runs `act` once between the reading and the publishing of the next load."""
+    real, pending = versions.publish, [act]
+
+    def publish_late(*arguments):
+        if pending:
+            pending.pop()()
+        return real(*arguments)
+
+    monkeypatch.setattr(versions, "publish", publish_late)
+
+
+def test_two_writers_of_other_days_both_succeed(spark, monkeypatch):
+    path = new_path(spark, "fact")
+    load(spark, path, (0, "X", 1))
+    while_loading(monkeypatch, lambda: load(spark, path, (1, "X", 2)))
+    load(spark, path, (2, "X", 3))
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1, (1, "X"): 2, (2, "X"): 3}
+    assert table_versions(spark, path) == [1, 2, 3]
+
+
+def test_two_writers_of_one_day_follow_each_other(spark, monkeypatch):
+    path = new_path(spark, "fact")
+    load(spark, path, (0, "X", 1), (0, "Z", 9))
+    while_loading(monkeypatch, lambda: load(spark, path, (0, "X", 2), (0, "Y", 2)))
+    load(spark, path, (0, "X", 3))
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 3, (0, "Y"): 2, (0, "Z"): 9}
+
+
+def test_two_first_loads(spark, monkeypatch):
+    path = new_path(spark, "fact")
+    while_loading(monkeypatch, lambda: load(spark, path, (0, "X", 1)))
+    load(spark, path, (0, "Y", 2))
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1, (0, "Y"): 2}
+
+
+def test_conflicts_are_reported_when_attempts_run_out(spark):
+    path = new_path(spark, "fact")
+    load(spark, path, (0, "X", 1))
+
+    def contents(version):
+        load(spark, path, (0, "X", 2))
+        return kpis_of(spark, path, version), {}
+
+    with pytest.raises(ConflictingLoad, match="2024-01-01"):
+        commit(spark, path, DAY, contents, attempts=2)
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 2}
+
+
+def test_numbers_conflict_like_partitions(spark):
+    path = new_path(spark, "numbers")
+    first = publish(spark, path, Version(), {"d=1": "load=a/d=1"}, {"last": 1})
+    publish(spark, path, first, {"d=2": "load=b/d=2"}, {"last": 2})
+    with pytest.raises(ConflictingLoad, match="last"):
+        publish(spark, path, first, {"d=3": "load=c/d=3"}, {"last": 2})
+    third = publish(spark, path, first, {"d=3": "load=c/d=3"}, {})
+    assert (third.number, third.numbers, sorted(third.folders)) == (3, {"last": 2}, ["d=1", "d=2", "d=3"])
+
+
+def override(spark, region, start):
+    typed = spark.createDataFrame([(0, region, start)], "ordinal long, region_value string, start string")
+    time = F.to_timestamp("start")
+    return typed.select(
+        "ordinal", F.lit("country").alias("region_type"), "region_value", F.lit("x").alias("event_type"),
+        F.lit("s").alias("source"), F.lit("n").alias("notes"), F.lit(1.0).alias("severity_score"),
+        F.lit("watch").alias("min_disruption_band"), time.alias("event_start_utc"), time.alias("event_end_utc"), F.lit(True).alias("is_active"),
+    )
+
+
+def test_two_override_loads_never_share_an_id(spark, monkeypatch):
+    path = new_path(spark, "events")
+    upsert_overrides(spark, override(spark, "A", "2024-01-05"), path)
+    while_loading(monkeypatch, lambda: upsert_overrides(spark, override(spark, "B", "2024-02-05"), path))
+    upsert_overrides(spark, override(spark, "C", "2024-03-05"), path)
+    rows = {r.region_value: r.event_id for r in read_overrides(spark, path).collect()}
+    assert rows == {"A": 1, "B": 2, "C": 3}
+    assert current_version(spark, path, "start_month").numbers == {"last_event_id": 3}
+
+
+def test_a_plain_partitioned_table_is_taken_over(spark):
+    path = new_path(spark, "fact")
+    plain = kpi_rows(spark, [(0, "X", 1), (24, "X", 2)]).withColumn(DAY, F.to_date("window_start"))
+    write_partitions(plain, path, DAY)
+    assert current_version(spark, path, DAY).number == 0
+    load(spark, path, (1, "Y", 7))
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1, (1, "X"): 2, (1, "Y"): 7}
+    removed = expire_versions(spark, path, DAY, older_than_hours=0)
+    assert removed == ["window_date=2024-01-02"]
+    assert flights(read_kpis(spark, path)) == {(0, "X"): 1, (1, "X"): 2, (1, "Y"): 7}
+
+
+def test_expiry_keeps_what_kept_versions_use(spark, monkeypatch):
+    path = new_path(spark, "fact")
+    for n in range(4):
+        load(spark, path, (0, "X", n), (n + 1, "X", n))
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(spark, path, (0, "X", 50))
+    newest, before = flights(read_kpis(spark, path)), flights(read_kpis(spark, path, version=3))
+    assert expire_versions(spark, path, DAY, keep=2) == ["_versions/000000000001.json", "_versions/000000000002.json"]
+    removed = expire_versions(spark, path, DAY, keep=2, older_than_hours=0)
+    assert len([r for r in removed if "/" in r]) == 2 and len([r for r in removed if "/" not in r]) == 1
+    assert flights(read_kpis(spark, path)) == newest
+    assert flights(read_kpis(spark, path, version=3)) == before
+    assert table_versions(spark, path) == [3, 4]
+
+
+def test_partition_names():
+    assert partition_name("d", None) == "d=__HIVE_DEFAULT_PARTITION__"
+    assert partition_name("d", "2024-01") == "d=2024-01"
+
+
+def test_no_table(spark):
+    with pytest.raises(NoSuchTable):
+        read_kpis(spark, new_path(spark, "absent"))

@@ -24,7 +24,9 @@ class Trailing:
     deviation: str | None = None
 
 
-def with_trailing(df: DataFrame, key: str, order: str, frames: dict[str, Trailing]) -> DataFrame:
+def with_trailing(
+    df: DataFrame, key: str | Sequence[str], order: str, frames: dict[str, Trailing]
+) -> DataFrame:
     """Adds the mean of each frame under its name, and its sample deviation under `deviation`.
 
     One growing frame per key carries exact decimal sums; a frame is the difference of two of them,
@@ -32,7 +34,8 @@ def with_trailing(df: DataFrame, key: str, order: str, frames: dict[str, Trailin
     without being held. Sums are exact, hence a constant history has deviation zero, and the result
     does not depend on where the history starts. Frames may hold up to 1000 rows; nulls do not count.
     """
-    by_key = Window.partitionBy(key).orderBy(order)
+    keys = [key] if isinstance(key, str) else list(key)
+    by_key = Window.partitionBy(*keys).orderBy(order)
     grown = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     measures = sorted({f.measure for f in frames.values()})
     squared = {f.measure for f in frames.values() if f.deviation}
@@ -71,6 +74,55 @@ def with_trailing(df: DataFrame, key: str, order: str, frames: dict[str, Trailin
     return framed.withColumns(results).drop(*running, *parts)
 
 
+#: Days of one block: about 3000 half-hourly rows of a key, and a halo of a day or two before them.
+DAYS_PER_BLOCK = 64
+_FIRST_BLOCK = -(1 << 31)
+
+
+def with_trailing_by_block(
+    df: DataFrame,
+    key: str,
+    order: str,
+    day: str,
+    frames: dict[str, Trailing],
+    days_per_block: int = DAYS_PER_BLOCK,
+) -> DataFrame:
+    """`with_trailing` for histories that are too long for one task: a key is cut into blocks of days.
+
+    Frames reach back a fixed number of rows, so a block needs the rows before it only as far as that:
+    its halo, the last days before it that together hold as many rows. Which days those are follows from
+    the rows per key and day, a table that is counted first (one column is read), summed up along each
+    key, and joined back by day. Rows are shuffled once, by (key, block), those of a halo to the blocks
+    they serve as well; a block's own rows get their frames, the halo's copies are dropped. A key with a
+    third of all rows is so worked on by as many tasks as it has blocks. Sums are exact, hence the
+    result is that of `with_trailing` to the bit.
+
+    `day` must not decrease as `order` grows; rows without a day count as the earliest.
+    """
+    reach = max(f.skip + f.rows for f in frames.values())
+    block = F.floor(F.coalesce(F.unix_date(F.col(day)), F.lit(_FIRST_BLOCK)) / days_per_block)
+    along = Window.partitionBy(key).orderBy(day)
+    counts = df.groupBy(key, day).agg(F.count("*").alias("_rows"))
+    counted = counts.select(
+        key,
+        day,
+        block.alias("_own"),
+        F.sum("_rows").over(along).alias("_seen"),
+        F.lead(block).over(along).alias("_next"),
+    )
+    # The last day of a block knows the next block, which starts after `_seen` rows of the key.
+    served = F.collect_list(F.when(F.col("_next") != F.col("_own"), F.col("_next")))
+    ahead = Window.partitionBy(key).orderBy("_seen").rangeBetween(0, reach - 1)
+    blocks = F.concat(F.array("_own"), served.over(ahead))
+    places = counted.select(
+        F.col(key).alias("_key"), F.col(day).alias("_day"), "_own", blocks.alias("_blocks")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(day).eqNullSafe(F.col("_day"))
+    dealt = df.join(places, same).select(*df.columns, "_own", F.explode("_blocks").alias("_block"))
+    framed = with_trailing(dealt, [key, "_block"], order, frames)
+    return framed.filter(F.col("_block") == F.col("_own")).drop("_own", "_block")
+
+
 def newest_rows(df: DataFrame, key: str, order: str, rows: int) -> DataFrame:
     """The last `rows` rows per key with their recency rank `rn` (1 = newest).
 

@@ -70,6 +70,39 @@ def numbered(rows: DataFrame, order: list[Column], *within: str) -> DataFrame:
     return rows.withColumn("position", F.rank().over(Window.partitionBy(*within).orderBy(*order)))
 
 
+def numbered_by_block(
+    rows: DataFrame, order: list[Column], blocks: dict[str, Column], *within: str, descending: bool = True
+) -> DataFrame:
+    """`numbered` for reports that grow with the history: no task ranks all rows, or a whole group.
+
+    `blocks` are coarse values, by name, that the order never goes against (days of a time, say); all
+    fall or all rise along it, nulls last or first as usual. Rows are counted per block, the counts summed
+    up along the order, one row for each block, and a row's place is its place in its block after
+    the rows of the blocks before. Ties share a block, hence a place.
+    """
+    falling = [f"_block_{name}" for name in blocks]
+    dealt = rows.select("*", *[value.alias(n) for n, value in zip(falling, blocks.values(), strict=True)])
+    key = [*within, *falling]
+    along = Window.partitionBy(*within).orderBy(*[F.desc(n) if descending else F.asc(n) for n in falling])
+    earlier = F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    counts = dealt.groupBy(*key).agg(F.count("*").alias("_rows"))
+    offsets = counts.select(
+        *[F.col(n).alias(f"_of_{n}") for n in key], F.coalesce(earlier, F.lit(0)).alias("_earlier")
+    )
+    # Without within the sums are one partition, which the join must not gather the rows into.
+    offsets = offsets.repartition(*[F.col(f"_of_{n}") for n in key])
+    same = F.lit(True)
+    for n in key:
+        same &= F.col(n).eqNullSafe(F.col(f"_of_{n}"))
+    place = F.rank().over(Window.partitionBy(*key).orderBy(*order))
+    return (
+        dealt.withColumn("_place", place)
+        .join(offsets, same)
+        .withColumn("position", (F.col("_earlier") + F.col("_place")).cast("int"))
+        .select(*rows.columns, "position")
+    )
+
+
 def risk_history(kpis: DataFrame, overrides: DataFrame) -> DataFrame:
     """All risk rows, newest window first."""
     return country_disruption_risk(kpis, overrides).orderBy(*newest_first())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrose.functions.numeric import half_even, half_up
+from windrose.operators.frames import with_trailing_by_block
 from windrose.operators.upsert import upsert_kpis, upsert_overrides
 from windrose.plans import gold, overrides, risk, silver, views
 from windrose.schemas import (
@@ -37,6 +38,7 @@ from windrose.sources.snapshots import (
 from windrose.sources.tables import (
     read_gold_csv,
     read_kpis,
+    read_overrides,
     read_silver_csv,
     write_partitions,
 )
@@ -256,6 +258,27 @@ def baseline_windows(spark, folder):
     )
 
 
+def _stored_fact(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "fact")
+    upsert_kpis(spark, _gold(spark, folder), path)
+    return read_kpis(spark, path)
+
+
+def baselines_by_block(spark, folder):
+    """The baselines of a stored fact whose countries are cut into blocks of a few days."""
+    framed = with_trailing_by_block(
+        _stored_fact(spark, folder), "origin_country", "window_start", "window_date", risk.baseline_frames(), days_per_block=5
+    )
+    return framed.select(
+        *KPI_KEY, *[half_up(F.col(c), 6).alias(c) for c in framed.columns if "baseline" in c]
+    )
+
+
+def stored_fact_risk(spark, folder):
+    """The risk view over the stored fact, which is partitioned by day."""
+    return risk.country_disruption_risk(_stored_fact(spark, folder), _overrides(spark, folder))
+
+
 def z_scores(spark, folder):
     return _scored(spark, folder).select(
         *KPI_KEY,
@@ -421,11 +444,10 @@ def override_upsert(spark, folder):
         (timed.filter(F.col("ts") < _FIRST_BATCH_UNTIL), _LOADED_AT),
         (timed.filter(F.col("ts") >= _SECOND_BATCH_FROM), _RELOADED_AT),
     ]
-    table = spark.createDataFrame([], OVERRIDE_SCHEMA)
+    path = new_path(spark, "events")
     for batch, moment in batches:
-        batch = batch.select("ordinal", *OVERRIDE_INPUT_COLUMNS)
-        table = staged(overrides.merge_overrides(table, batch, _moment(moment)), "overrides")
-    return table
+        upsert_overrides(spark, batch.select("ordinal", *OVERRIDE_INPUT_COLUMNS), path, _moment(moment))
+    return read_overrides(spark, path)
 
 
 # --- KPI table maintenance ---
@@ -446,6 +468,16 @@ def kpi_upsert(spark, folder):
     return read_kpis(spark, path).select(*GOLD_SCHEMA.fieldNames())
 
 
+def kpi_earlier_version(spark, folder):
+    """The fact as a reader that was made between two overlapping loads still shows it after both."""
+    path = new_path(spark, "fact")
+    first, second = _batches(spark, folder)
+    upsert_kpis(spark, first, path)
+    held = read_kpis(spark, path)
+    upsert_kpis(spark, second, path)
+    return held.select(*GOLD_SCHEMA.fieldNames())
+
+
 def kpi_schema_evolution(spark, folder):
     """An older table without three of the columns takes a load that has them."""
     path = new_path(spark, "fact")
@@ -521,12 +553,31 @@ def _product(view: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 
 def _ordered(
-    product: Query, order: Callable[[], list[Column]], *columns: str, within: tuple[str, ...] = ()
+    product: Query,
+    order: Callable[[], list[Column]],
+    *columns: str,
+    within: tuple[str, ...] = (),
+    blocks: Callable[[], dict[str, Column]] | None = None,
 ) -> Query:
     """A product's key columns with the place of each row in the report's order."""
-    return lambda spark, folder: views.numbered(product(spark, folder), order(), *within).select(
-        *columns, "position"
-    )
+
+    def query(spark, folder):
+        rows = product(spark, folder)
+        if blocks:
+            rows = views.numbered_by_block(rows, order(), blocks(), *within)
+        else:
+            rows = views.numbered(rows, order(), *within)
+        return rows.select(*columns, "position")
+
+    return query
+
+
+def _by_day() -> dict[str, Column]:
+    return {"day": F.to_date("window_start")}
+
+
+def _by_severity() -> dict[str, Column]:
+    return {"severity": F.col("severity_score"), "day": F.to_date("event_start_utc")}
 
 
 def country_trend_of_one(spark, folder):
@@ -565,6 +616,8 @@ QUERIES: dict[str, Query] = {
     "gold_stress_index": gold_stress_index,
     "gold_kpis": _gold,
     "baseline_windows": baseline_windows,
+    "baselines_by_block": baselines_by_block,
+    "stored_fact_risk": stored_fact_risk,
     "z_scores": z_scores,
     "capacity_drop": capacity_drop,
     "telemetry_risk": telemetry_risk,
@@ -587,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "override_range_violations": override_range_violations,
     "override_upsert": override_upsert,
     "kpi_upsert": kpi_upsert,
+    "kpi_earlier_version": kpi_earlier_version,
     "kpi_schema_evolution": kpi_schema_evolution,
     "kpi_incremental": kpi_incremental,
     "kpi_replay": kpi_replay,
@@ -600,10 +654,12 @@ QUERIES: dict[str, Query] = {
     "active_overrides": active_overrides,
     "switched_on_overrides": switched_on_overrides,
     "country_trend_of_one": country_trend_of_one,
-    "history_order": _ordered(_risk, views.newest_first, *KPI_KEY, within=("origin_country",)),
+    "history_order": _ordered(
+        _risk, views.newest_first, *KPI_KEY, within=("origin_country",), blocks=_by_day
+    ),
     "board_order": _ordered(_product(views.global_risk_board), views.gravest_first, *KPI_KEY),
     "trend_order": _ordered(
-        _product(views.country_trend), views.newest_first, *KPI_KEY, within=("origin_country",)
+        _product(views.country_trend), views.newest_first, *KPI_KEY, within=("origin_country",), blocks=_by_day
     ),
     "worsening_order": _ordered(
         _product(views.worsening_risk), views.worst_first, "latest_window", "origin_country"
@@ -611,9 +667,10 @@ QUERIES: dict[str, Query] = {
     "capacity_order": _ordered(
         _product(views.capacity_candidates), views.most_impact_first, "origin_country", "impact_score"
     ),
-    "monitor_order": _ordered(confidence_monitor, views.newest_first, "window_start"),
+    "monitor_order": _ordered(confidence_monitor, views.newest_first, "window_start", blocks=_by_day),
     "overrides_order": _ordered(
         active_overrides, views.most_severe_first,
         "region_value", "event_type", "severity_score", "event_start_utc", "event_end_utc",
+        blocks=_by_severity,
     ),
 }

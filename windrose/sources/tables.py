@@ -17,6 +17,7 @@ from windrose.schemas import (
 )
 from windrose.session import path_exists, prepare
 from windrose.sources.snapshots import window_key
+from windrose.sources.versions import NoSuchTable, Version, current_version, read_version
 
 _FLAGS = ["on_ground", "is_stale_contact", "is_low_velocity"]
 
@@ -48,16 +49,6 @@ def existing_folders(spark: SparkSession, path: str, column: str, values: list)
     return [f for f in folders if path_exists(spark, f)]
 
 
-def in_partitions_of(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """Rows of a partitioned table in the partitions that `rows` has.
-
-    The range, two scalar subqueries, prunes the scan at run time; the semi join is exact.
-    """
-    first, last = (rows.agg(edge(column)).scalar() for edge in (F.min, F.max))
-    near = table.filter(F.col(column).between(first, last))
-    return near.join(rows.select(column).distinct(), column, "left_semi")
-
-
 def write_silver(silver: DataFrame, path: str) -> None:
     """One partition per window; writing a window again replaces it."""
     write_partitions(silver.withColumn("window_key", window_key(F.col("window_start"))), path, "window_key")
@@ -128,24 +119,37 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[column(f) for f in schema.fields])
 
 
-def read_kpis(spark: SparkSession, path: str) -> DataFrame:
-    """The KPI fact with its declared columns; columns that older files lack read as null."""
-    return _read_partitions(spark, path, KPI_SCHEMA, "window_date", T.DateType())
+_DAY = T.StructField("window_date", T.DateType())
+_MONTH = T.StructField("start_month", T.StringType())
 
 
-def with_start_month(overrides: DataFrame) -> DataFrame:
-    return overrides.withColumn("start_month", F.date_format("event_start_utc", "yyyy-MM"))
+def _version(spark: SparkSession, path: str, column: str, number: int | None) -> Version:
+    version = current_version(spark, path, column, number)
+    if not (version.number or version.folders):
+        raise NoSuchTable(f"There is no table at {path}")
+    return version
+
 
+def read_kpis(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The KPI fact with its declared columns; columns that older files lack read as null.
 
-def write_overrides(overrides: DataFrame, path: str) -> None:
-    """Replaces the months present in `overrides`."""
-    write_partitions(with_start_month(overrides), path, "start_month")
+    The newest version, or the one asked for. The DataFrame keeps showing it after later loads.
+    """
+    return kpis_of(spark, path, _version(spark, path, _DAY.name, version))
+
+
+def kpis_of(spark: SparkSession, path: str, version: Version, days: list[str] | None = None) -> DataFrame:
+    return read_version(spark, path, KPI_SCHEMA, _DAY, version, days)
+
+
+def with_start_month(overrides: DataFrame) -> DataFrame:
+    return overrides.withColumn("start_month", F.date_format("event_start_utc", "yyyy-MM"))
 
 
-def read_override_months(spark: SparkSession, path: str) -> DataFrame:
-    """The override table with `start_month`, by which it is partitioned."""
-    return _read_partitions(spark, path, OVERRIDE_SCHEMA, "start_month", T.StringType())
+def overrides_of(spark: SparkSession, path: str, version: Version, months: list[str] | None = None) -> DataFrame:
+    return read_version(spark, path, OVERRIDE_SCHEMA, _MONTH, version, months).drop(_MONTH.name)
 
 
-def read_overrides(spark: SparkSession, path: str) -> DataFrame:
-    return read_override_months(spark, path).drop("start_month")
+def read_overrides(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The override table, its newest version or the one asked for."""
+    return overrides_of(spark, path, _version(spark, path, _MONTH.name, version))
