@@ -26,13 +26,14 @@ def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("kept", [400_000, 5])
+@pytest.mark.parametrize("kept", [500_000, 5])
 def test_ids_equal_the_library(library, monkeypatch, kept):
-    monkeypatch.setattr(packing, "_KEPT_WORDS", kept)
+    monkeypatch.setattr(packing, "_KEPT_RUNS", kept)
+    monkeypatch.setattr(packing, "_KEPT_OTHERS", kept)
     rng = random.Random(3)
     texts = [None, "", " ", *("".join(rng.choices(ATOMS, k=rng.randrange(50))) for _ in range(2000))]
     encoder = WordIds(public_tokenizer("word_bpe_49k.json"))
-    assert encoder.by_word
+    assert encoder.by_word and encoder.by_run
     ids, counts = encoder.column(pa.array(texts))
     assert np.split(ids, np.cumsum(counts))[-1].size == 0
     for text, found in zip(texts, np.split(ids, np.cumsum(counts)), strict=False):

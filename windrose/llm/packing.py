@@ -22,11 +22,11 @@ table gives no rows. Further columns of a piece table stay; columns `sequence_id
 
 import json
 import os
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrose.llm.common import free_name, prepare, stored, table
-from windrose.llm.token_files import public_tokenizer
+from windrose.llm.token_files import _FIRST_UNSURE as FIRST_UNSURE
+from windrose.llm.token_files import _byte_characters, public_tokenizer
 from windrose.llm.words import ByteRule, Words, word_chunks
 
-_KEPT_WORDS = 400_000
+_KEPT_RUNS = 500_000
+_KEPT_OTHERS = 50_000
 _PIECES_PER_BATCH = 2048
 #: White space of every definition of it; what else counts as white space is left to the library.
 _SPACES = ByteRule(b" \t\n\r", lower=False)
@@ -63,46 +65,52 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.by_word = _spaceless(json.loads(definition))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        ids = self._encoded(words)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, stop = len(self.numbers), len(self.numbers) + len(words)
-        if stop > len(self.starts):
-            self.starts, self.sizes = (np.resize(a, 2 * stop) for a in (self.starts, self.sizes))
-        total = int(sizes.sum())
-        if self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (self.used + total))
-        self.flat[self.used : self.used + total] = np.fromiter((i for word in ids for i in word), np.uint32, total)
-        self.sizes[first:stop] = sizes
-        self.starts[first:stop] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.numbers.update(zip(words, range(first, stop), strict=True))
+        parts = json.loads(definition)
+        self.by_word = _spaceless(parts)
+        self.by_run = self.by_word and _run_wise(parts)
+        self._characters = _byte_characters()
+        self._runs: dict[str, bytes] = {}
+        self._others: dict[str, bytes] = {}
+
+    def _encoded(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, run: str) -> bytes | None:
+        """The ids of a run of letters, which the pattern takes whole and whose bytes go straight to the
+        merges; None if it is none, also after normalising."""
+        if not run.isalpha():
+            return None
+        plain = run.lower() if run.isascii() else self.tokenizer.normalizer.normalize_str(run)
+        if not (plain.isalpha() and max(plain) < FIRST_UNSURE):
+            return None
+        if not plain.isascii():
+            plain = plain.encode().decode("latin-1").translate(self._characters)
+        found = array("I", [t.id for t in self.tokenizer.model.tokenize(plain)]).tobytes()
+        if len(self._runs) < _KEPT_RUNS:
+            self._runs[run] = found
+        return found
+
+    def _other(self, text: str) -> bytes:
+        found = self._others.get(text)
+        if found is None:
+            found = self._encoded(text)
+            if len(self._others) < _KEPT_OTHERS:
+                self._others[text] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        run = word.rstrip(_MARKS) if self.by_run else ""
+        ids = self._runs.get(run) or self._letters(run)
+        if ids is None:
+            return self._other(word)
+        return ids if len(run) == len(word) else ids + self._other(word[len(run) :])
 
     def _chunk(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        terms = words.terms.to_pylist()
-        known = np.fromiter(map(self.numbers.get, terms, repeat(-1)), np.int64, len(terms))
-        new = np.flatnonzero(known < 0)
-        if len(self.numbers) + len(new) > _KEPT_WORDS:
-            self._forget()
-            new = np.arange(len(terms))
-        if len(new):
-            known[new] = np.arange(len(self.numbers), len(self.numbers) + len(new))
-            self._learn([terms[i] for i in new])
-        starts, sizes = self.starts[known][words.ids], self.sizes[known][words.ids]
-        ends = np.cumsum(sizes)
-        at = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])
-        return self.flat[at], sizes
+        known, others = self._runs.get, self._word
+        ids = [known(term) or others(term) for term in words.terms.to_numpy(zero_copy_only=False).tolist()]
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int32, len(ids)) // 4)).astype(np.int32)
+        every = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.uint32)))
+        return every.take(pa.array(words.ids)).flatten().to_numpy(), np.diff(ends)[words.ids]
 
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
@@ -114,11 +122,16 @@ class WordIds:
                 counts += np.bincount(words.rows, sizes, len(texts)).astype(np.int64)
         else:
             for row, text in enumerate(pc.fill_null(texts, "").to_pylist()):
-                parts.append(np.array(self._encoded([text])[0], np.uint32))
+                parts.append(np.frombuffer(self._encoded(text), np.uint32))
                 counts[row] = len(parts[-1])
         return np.concatenate([np.zeros(0, np.uint32), *parts]), counts
 
 
+_MARKS = ".,;:!?"
+#: A pattern that takes runs of letters, single digits, and runs of anything else, after some contractions.
+_RUNS = [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
+
+
 def _spaceless(definition: dict) -> bool:
     """Whether words between spaces are encoded each by itself.
 
@@ -130,12 +143,24 @@ def _spaceless(definition: dict) -> bool:
     before = definition.get("pre_tokenizer") or {}
     first = (before.get("pretokenizers") or [before])[0]
     pattern = (first.get("pattern") or {}).get("Regex", "")
-    runs = [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"]
     dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-    letters = all(p in runs or p.replace("'", "").isalpha() for p in pattern.split("|"))
+    runs = all(p in _RUNS or p.replace("'", "").isalpha() for p in pattern.split("|"))
     added = definition.get("added_tokens") or []
     plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or " " in t["content"] for t in added)
-    return bool(local and dropped and letters and plain)
+    return bool(local and dropped and runs and plain)
+
+
+def _run_wise(definition: dict) -> bool:
+    """Whether besides that letters and marks are lower-cased and merged as bytes, run by run."""
+    normal, before = definition.get("normalizer") or {}, definition.get("pre_tokenizer") or {}
+    kinds = [s["type"] for s in normal.get("normalizers", [])]
+    steps = before.get("pretokenizers", [])
+    bytewise = len(steps) == 2 and steps[1].items() >= {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}.items()
+    pattern = steps[0]["pattern"]["Regex"].split("|") if bytewise else []
+    contractions = all(p.startswith("'") for p in pattern if p not in _RUNS)
+    added = [t["content"] for t in definition.get("added_tokens") or []]
+    other = all(any(not c.isalpha() and c not in _MARKS for c in a) for a in added)
+    return "Lowercase" in kinds and bytewise and contractions and set(_RUNS) <= set(pattern) and other
 
 
 @lru_cache(maxsize=2)
