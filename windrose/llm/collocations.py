@@ -40,7 +40,9 @@ from windrose.session import new_path
 PIECES = ByteRule(b" \t", b".,;:!?\n\x0b\x0c\r")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PROBES = 3
-_KEPT_ROWS = 1_000_000
+_KEPT_ROWS = 800_000
+_SENT_ROWS = 50_000
+_CHUNK = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -81,33 +83,38 @@ def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class _Counts:
-    """Counts of phrases, merged whenever many rows have come together."""
+    """Counts of phrases by language and size, merged whenever many rows have come together."""
 
     def __init__(self) -> None:
-        self.parts: list[pa.Table] = []
+        self.parts: dict[tuple[str, int], list[tuple[pa.Array, np.ndarray]]] = {}
         self.rows = 0
 
     def add(self, lang: str, size: int, phrases: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        some = len(phrases)
-        columns = [pa.array([lang]).take(pa.array(np.zeros(some, np.int32))), pa.array(np.full(some, size, np.int32)), phrases, pa.array(n)]
-        self.parts.append(pa.table(columns, ["lang", "size", "phrase", "n"]))
-        self.rows += some
+        self.parts.setdefault((lang, size), []).append((phrases, n))
+        self.rows += len(phrases)
         if self.rows >= _KEPT_ROWS:
             self.merge()
-            if self.rows > _KEPT_ROWS // 2:
+            if self.rows > _KEPT_ROWS * 3 // 4:
                 yield from self.drain()
 
     def merge(self) -> None:
-        found = pa.TableGroupBy(pa.concat_tables(self.parts), ["lang", "size", "phrase"], use_threads=False).aggregate([("n", "sum")])
-        self.parts = [found.select(["lang", "size", "phrase", "n_sum"]).rename_columns(["lang", "size", "phrase", "n"])]
-        self.rows = found.num_rows
+        self.rows = 0
+        for key, parts in self.parts.items():
+            coded = pa.concat_arrays([p for p, _ in parts]).dictionary_encode()
+            n = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(n, coded.indices.to_numpy(), np.concatenate([n for _, n in parts]))
+            self.parts[key] = [(coded.dictionary, n)]
+            self.rows += len(n)
 
     def drain(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            self.merge()
-            rows = self.parts[0].set_column(2, "phrase", self.parts[0]["phrase"].cast(pa.string()))
-            yield from rows.to_batches(max_chunksize=50_000)
-        self.parts, self.rows = [], 0
+        self.merge()
+        for (lang, size), [(phrases, n)] in self.parts.items():
+            for first in range(0, len(n), _SENT_ROWS):
+                some = phrases[first : first + _SENT_ROWS].cast(pa.string())
+                columns = [pa.repeat(pa.scalar(lang), len(some)), pa.repeat(pa.scalar(size, pa.int32()), len(some)), some, pa.array(n[first : first + _SENT_ROWS])]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
+        self.parts, self.rows = {}, 0
+        pa.default_memory_pool().release_unused()
 
 
 class Scanner:
@@ -192,7 +199,7 @@ def _scan(texts: DataFrame, how: Mining, words: bool, reached: np.ndarray, recen
             for number, lang in enumerate(langs.dictionary.to_pylist()):
                 mine = batch.column("text").filter(pc.equal(langs.indices, number))
                 scanner = Scanner(lang, how.longest, words, *sent.value)
-                for chunk in word_chunks(mine, PIECES):
+                for chunk in word_chunks(mine, PIECES, _CHUNK):
                     for size, phrases, n in scanner.counts(chunk):
                         yield from counts.add(lang, size, phrases, n)
         yield from counts.drain()
@@ -249,28 +256,28 @@ def frequent_phrases(docs: DataFrame, how: Mining = PRODUCTION) -> DataFrame:
         counted = _scan(whole.filter(F.col("shard") == shard), how, step < how.shards, reached, now)
         rows = counted.select(
             "lang", "size", "phrase", F.col("n").alias("new"), *[F.lit(0).cast("long").alias(c) for c in by_shard],
-            F.lit(step).alias("last"), F.lit(None).cast("int").alias("hit"),
+            F.lit(step).alias("last"),
         )
         if state is not None:
             rows = rows.unionByName(state.withColumn("new", F.lit(0).cast("long")))
         merged = rows.groupBy("lang", "size", "phrase").agg(
-            F.sum("new").alias("new"), *[F.max(c).alias(c) for c in by_shard], F.max("last").alias("last"), F.max("hit").alias("hit")
+            F.sum("new").alias("new"), *[F.max(c).alias(c) for c in by_shard], F.max("last").alias("last")
         )
         current = by_shard[shard]
-        merged = merged.withColumn(current, F.greatest(current, "new")).drop("new")
-        # Number of the step in which a phrase has reached `least`.
-        hit = F.coalesce("hit", F.when((F.col("size") > 0) & (total >= how.least), F.lit(step)))
-        merged, path = stored(merged.withColumn("hit", hit), "phrase-counts")
+        merged = merged.withColumn("before", total).withColumn(current, F.greatest(current, "new")).drop("new")
+        # Whether a phrase has reached `least` in this step.
+        merged = merged.withColumn("hit", (F.col("before") < how.least) & (total >= how.least)).drop("before")
+        merged, path = stored(merged, "phrase-counts")
         if state_path:
             discard(spark, state_path)
         over = F.col("last") <= step - how.shards + 1
         complete = merged.filter(over & ((total >= how.least) | (F.col("size") == 0)))
         complete, _ = stored(complete.select("lang", "size", "phrase", total.alias("n")), "phrases")
         found.append(complete)
-        marked = _marked(merged.filter((F.col("hit") == step) & F.col("size").between(1, how.longest - 1)).select("lang", "phrase"), how)
+        marked = _marked(merged.filter(F.col("hit") & F.col("size").between(1, how.longest - 1)).select("lang", "phrase"), how)
         recent = [*recent, marked][-how.shards :]
         reached = reached | marked
-        state, state_path = merged.filter(~over), path
+        state, state_path = merged.filter(~over).drop("hit"), path
         step += 1
     found.append(state.filter((total >= how.least) | (F.col("size") == 0)).select("lang", "size", "phrase", total.alias("n")))
     every = found[0]
