@@ -57,6 +57,21 @@ def test_added_tokens_equal_the_untouched_library(untouched, monkeypatch):
             assert np.frombuffer(encoder.encoded(text), encoder.type).tolist() == ids_of(untouched, text), text
 
 
+def test_groups_of_texts_equal_the_untouched_library(untouched, monkeypatch):
+    """White space of all kinds at spaces, ends of texts, cuts of long texts, and no room for pieces."""
+    rng = random.Random(6)
+    atoms = [*ATOMS, " ", " ", "<|endoftext|>", "ab\n", " ab", "\n\n", "\u2028", "\x85", "word "]
+    texts = ["", " ", "  ", "a", " a", "a ", "a b\n", "a b\n\n", "\na b", "a\n b", "a \nb", "one <|endoftext|> two", " <|endoftext|>"]
+    texts += ["".join(rng.choices(atoms, k=rng.randrange(0, 60))) for _ in range(3000)]
+    expected = [ids_of(untouched, text) for text in texts]
+    for piece, kept, group, joined in ((1 << 20, 600_000, 1 << 20, 500), (20, 50, 200, 7), (20, 600_000, 1, 1)):
+        for name, value in (("_PIECE", piece), ("_KEPT_PIECES", kept), ("_GROUP", group), ("_JOINED", joined)):
+            monkeypatch.setattr(token_files, name, value)
+        encoder = Encoder(public_tokenizer(), added_tokens=True)
+        for text, ids, right in zip(texts, encoder.encoded_each(iter(texts)), expected, strict=True):
+            assert np.frombuffer(ids, encoder.type).tolist() == right, text
+
+
 def test_query_encodes_added_tokens(spark, tmp_path, untouched):
     texts = {1: "one <|endoftext|> two", 2: "three"}
     spark.createDataFrame([*texts.items()], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))

@@ -13,8 +13,11 @@ a temporary name and moves it into place, so a task that runs again or twice lea
 one row for each part goes through one task, to sum up the parts before it.
 
 The encoder cuts texts at single spaces between two characters that are no white space, where the
-tokenizer's own pattern always cuts, and keeps the ids of recent pieces. Strings of added tokens, special
-ones too, become those tokens' ids, as the library does by default; the text between them is cut.
+tokenizer's own pattern always cuts. It takes texts in groups of bounded size: Arrow splits them and
+numbers their distinct pieces, the library encodes those it has not met yet, many to a call, and the ids
+of all pieces are gathered by their numbers. Texts with other white space around spaces go one by one.
+Strings of added tokens, special ones too, become those tokens' ids, as the library does by default; the
+text between them is cut.
 
 Defined results: a null text is empty and consists of the end id alone; a null doc_id comes first; rows
 that repeat an id are documents of their own, in the order of a hash of their texts; an empty table gives
@@ -26,13 +29,14 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,6 +48,9 @@ from windrose.session import new_path
 _MANIFEST = "part int, path string, documents long, tokens long"
 _PIECE = 1 << 20
 _KEPT_PIECES = 600_000
+#: Characters of a group of texts, and pieces that one call of the library encodes.
+_GROUP = 16 << 20
+_JOINED = 500
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSE = re.compile(r" \s|\s ")
 _ASCII_CLOSE = [x for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f" for x in (f" {c}", f"{c} ")] + ["  "]
@@ -118,7 +125,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = not added_tokens
-        self.type = np.min_scalar_type(max(1, self.tokenizer.get_vocab_size() - 1))
+        self.type = np.dtype(np.min_scalar_type(max(1, self.tokenizer.get_vocab_size() - 1)))
         parts = json.loads(definition)
         before = parts.get("pre_tokenizer") or {}
         self.cuttable = not parts.get("normalizer") and before.items() >= _CUTTABLE.items()
@@ -130,8 +137,13 @@ class Encoder:
         longest_first = sorted(self._added, key=len, reverse=True)
         self._at_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.pieces = _Pieces(self._encode, self._word)
+        self._known: dict[str, bytes] = {}
         self._characters = _byte_characters()
         self._space = self._characters[ord(" ")]
+        # No piece holds a space but as its first character: a token that starts with one opens a piece.
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size() if self.cuttable else 0))
+        self._opens = np.array([n is not None and n.startswith(self._space) for n in names], bool)
+        self._joinable = self.cuttable and not any(" " in content for content in self._added)
         self._code = "B" if self.type == np.uint8 else "H" if self.type == np.uint16 else "I"
 
     def _packed(self, ids: list[int]) -> bytes:
@@ -180,6 +192,100 @@ class Encoder:
         return b"".join([self._encode(first), *map(self.pieces.__getitem__, pieces)])
 
 
+    def encoded_each(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """`encoded` of every text, in order."""
+        units = chain.from_iterable(map(self._units, texts))
+        pending: list[bytes] = []
+        while group := self._group(units):
+            for ids, (_, ends, _) in zip(self._encoded_group(group), group, strict=True):
+                pending.append(ids)
+                if ends:
+                    yield b"".join(pending)
+                    pending = []
+
+    def _units(self, text: str) -> Iterator[tuple[str, bool, bool]]:
+        """(part of the text, whether it is the last, whether it may be split at spaces)."""
+        if not text or not self._joinable or any(map(text.__contains__, self._added)):
+            yield text, True, False
+            return
+        *parts, last = self._parts(text)
+        for part in parts:
+            yield part, False, True
+        yield last, True, True
+
+    @staticmethod
+    def _group(units: Iterator[tuple[str, bool, bool]]) -> list[tuple[str, bool, bool]]:
+        group, size = [], 0
+        for unit in units:
+            group.append(unit)
+            size += len(unit[0])
+            if size >= _GROUP:
+                break
+        return group
+
+    def _encoded_group(self, units: list[tuple[str, bool, bool]]) -> list[bytes]:
+        """Splits units at all spaces; those where not every space is a cut go the other way."""
+        heads = [unit.partition(" ") if plain else ("", "", "") for unit, _, plain in units]
+        tails = [tail for _, _, tail in heads]
+        lists = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found, opens_blank, ends_blank = self._pieces_ids(pieces)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.type.itemsize
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(found), self.type)
+        codes, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy()
+        results = []
+        for (unit, _, _), (head, space, _), first, last in zip(units, heads, bounds[:-1], bounds[1:], strict=True):
+            some = codes[first:last]
+            # White space that ends the last piece ends the unit.
+            if not space or head[-1:].isspace() or opens_blank[some].any() or ends_blank[some[:-1]].any():
+                results.append(self.encoded(unit))
+                continue
+            counts = lengths[some]
+            ends = np.cumsum(counts)
+            at = np.repeat(starts[some] - ends + counts, counts) + np.arange(ends[-1])
+            results.append((self._encode(head) if head else b"") + flat[at].tobytes())
+        return results
+
+    def _pieces_ids(self, pieces: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of distinct pieces that each follow a space, and which begin or end with white space.
+
+        Empty pieces count as such and, like all that begin with white space, get no ids. Only pieces
+        without white space at either end are kept for later groups.
+        """
+        found = list(map(self._known.get, pieces))
+        opens_blank, ends_blank = np.zeros((2, len(pieces)), bool)
+        new = []
+        for i in (i for i, ids in enumerate(found) if ids is None):
+            if not pieces[i] or pieces[i][0].isspace():
+                found[i] = b""
+                opens_blank[i] = ends_blank[i] = True
+            elif pieces[i][-1].isspace():
+                found[i] = self._encode(" " + pieces[i])
+                ends_blank[i] = True
+            else:
+                new.append(i)
+        for start in range(0, len(new), 64 * _JOINED):
+            some = new[start : start + 64 * _JOINED]
+            runs = [some[i : i + _JOINED] for i in range(0, len(some), _JOINED)]
+            joined = [" " + " ".join(pieces[i] for i in run) for run in runs]
+            for run, encoding in zip(runs, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+                ids = np.array(encoding.ids, self.type)
+                opens = np.flatnonzero(self._opens[ids])
+                if len(opens) == len(run) and opens[0] == 0:
+                    packed = ids.tobytes()
+                    bounds = [*(opens * self.type.itemsize).tolist(), len(packed)]
+                    for i, a, b in zip(run, bounds[:-1], bounds[1:], strict=True):
+                        found[i] = packed[a:b]
+                else:
+                    for i in run:
+                        found[i] = self._encode(" " + pieces[i])
+            room = max(0, _KEPT_PIECES - len(self._known))
+            self._known.update((pieces[i], found[i]) for i in some[:room])
+        return found, opens_blank, ends_blank
+
+
 @lru_cache(maxsize=2)
 def _encoder(definition: str) -> Encoder:
     return Encoder(definition, added_tokens=True)
@@ -260,9 +366,9 @@ def write_token_files(docs: DataFrame, definition: str, folder: str, how: TokenF
             index = pa.ipc.new_file(out2, _DOCUMENT_SCHEMA)
             for batch in chain([first], batches):
                 starts, counts = [], []
-                for text in batch.column("text"):
+                for ids in encoder.encoded_each(text.as_py() or "" for text in batch.column("text")):
                     starts.append(writer.tokens)
-                    writer.add(encoder.encoded(text.as_py() or "") + end)
+                    writer.add(ids + end)
                     counts.append(writer.tokens - starts[-1])
                 index.write_batch(
                     pa.RecordBatch.from_arrays(
