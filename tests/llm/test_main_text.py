@@ -59,6 +59,42 @@ def test_pages(html, text):
     assert main_text(html) == text
 
 
+PROSE = "It went on, as it does, for long."
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        (f"<section id='discussion'><h2>Discussion</h2><p>{PROSE}</p><p>{LONG}</p></section>", f"Discussion {PROSE} {LONG.strip()}"),
+        ("<h2 id='related-work'>Related work</h2>", "Related work"),
+        ("<h2 id='cookies'>Cookies</h2>", "Cookies"),
+        (f"<div class='share-price'><p>{PROSE}</p></div>", PROSE),
+        (f"<div class='panel-discussion'>{PROSE}</div>", PROSE),
+        (f"<div class='table-header'>{PROSE}</div>", PROSE),
+        ("<div id='share'><p>Share this, now</p></div>", ""),
+        ("<div class='social-impact'><a href=x>One link</a></div>", ""),
+        (f"<div class='notice'>{LONG}</div>", ""),
+        (f"<div class='ad'>{LONG}</div>", ""),
+        (f"<div class='share-buttons'>{PROSE}</div>", ""),
+        (f"<div class='related-posts'>{PROSE}</div>", ""),
+        (f"<div class='social share'>{PROSE}</div>", ""),
+        (f"<section class='reader-comments'>{LONG}</section>", ""),
+        (f"<section id='comments'>{LONG}</section>", ""),
+        (f"<ol class='comment-list'><li>{LONG}</li></ol>", ""),
+        (f"<div class='summer-promo'>{PROSE}</div>", ""),
+        (f"<div id='newsletter-signup'>{PROSE}</div>", ""),
+    ],
+)
+def test_names_inside_an_article(inner, text):
+    expected = " ".join(["Title", LONG.strip(), *([text] if text else []), "End, then."])
+    assert main_text(f"<article><h1>Title</h1><p>{LONG}</p>{inner}<p>End, then.</p></article>") == expected
+
+
+def test_a_paragraph_called_after_its_subject_stays_beside_the_container():
+    page = f"<body><div><p>{LONG}</p><p>{LONG}</p></div><p class='social-impact'>{LONG}</p><p class='cookie-notice'>{LONG}</p></body>"
+    assert main_text(page) == " ".join([LONG.strip()] * 3)
+
+
 def test_container_is_found_without_article():
     links = "".join(f"<li><a href=/{i}>Link, number {i}, of many, in a list</a></li>" for i in range(60))
     page = (

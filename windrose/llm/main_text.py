@@ -1,8 +1,10 @@
 """Main text of web pages by scoring the tree.
 
-A page is parsed into a tree of elements and blocks of text. Elements that by their tag, role, class, id
-or style are no part of an article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments) are left out. Each remaining block gives points for its length and its commas, less the
+A page is parsed into a tree of elements and blocks of text. Elements that by their tag, role or style, or
+by a class or id that names nothing else, are no part of an article (menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles, comments) are left out. A class or id that may also name a
+subject (`share-price`, `related-work`, a section called `discussion`) only halves an element's points; it
+is left out if mostly links, or if such a word is its whole id and it is short and no heading. Each remaining block gives points for its length and its commas, less the
 share of it that is link text, to the element around it and, halved at each step, to that one's ancestors.
 The element with most points is the container; if it lies in an article (or main) element, that one is
 taken whole. Siblings of the container are kept if their points come near, or if they are headings or
@@ -41,16 +43,31 @@ _FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar "
     "tablist status tooltip".split()
 )
-_FURNITURE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adsense banner sponsor sponsored "
-    "promo promotion promotions cookie cookies consent gdpr notice notices notification notifications "
-    "alert popup modal overlay lightbox newsletter subscribe subscription signup login "
-    "nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars aside rail "
-    "footer foot masthead topbar toolbar pagination pager "
-    "comment comments commentlist disqus reply replies respond responses discussion "
+#: Words that name furniture whatever describes them ("reader-comments").
+_STRONG_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements adsense sponsored promo cookie cookies gdpr "
+    "popup modal lightbox newsletter subscribe signup login "
+    "nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars aside "
+    "footer masthead topbar toolbar pagination pager "
+    "comment comments commentlist disqus".split()
+)
+#: Words that name furniture alone or beside others of these lists; else they may describe a subject.
+_WEAK_WORDS = frozenset(
+    "advertising banner sponsor promotion promotions consent notice notices notification notifications "
+    "alert overlay subscription rail foot reply replies respond responses discussion "
     "share sharing social related recommended recommendations widget widgets "
     "disclaimer copyright skip hidden".split()
 )
+#: Words that say nothing of what a piece of furniture holds: after its name, and anywhere.
+_PART_WORDS = frozenset(
+    "list item items box boxes container wrapper wrap block blocks section area zone bar bars button buttons "
+    "link links icon icons unit slot row col column panel group card cards body content text title heading "
+    "thread form open closed active".split()
+)
+_PLACE_WORDS = frozenset(
+    "top bottom left right inner outer main site page post posts article articles entry story stories news "
+    "user reader global primary secondary sticky fixed floating this div id js wp".split()
+)
 #: "no-sidebar" or "with-menu" name something else than furniture.
 _QUALIFIERS = frozenset("no non has with without".split())
 _HEADER_OF_ARTICLE = frozenset("article entry post story content title section".split())
@@ -84,16 +101,15 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _WHOLE = ("article", "main")
 
 _SIBLING_SHARE = 0.2
+#: How surely a class or id names furniture.
+_SURE, _WHOLE_ID, _IN_DOUBT, _NONE = 3, 2, 1, 0
+_DOUBT_SHARE = 0.5
+_SHORT = 120
 _POINTS_PER_BLOCK = 1.0
 _CHARS_PER_POINT = 100
 _MOST_LENGTH_POINTS = 3.0
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
-    words = _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return {w for before, w in zip(["", *words], words, strict=False) if before not in _QUALIFIERS}
-
-
 def _is_furniture(tag: str, attributes: dict[str, str]) -> bool:
     """By tag, role, style or attributes, which leave no doubt."""
     return (
@@ -105,26 +121,44 @@ def _is_furniture(tag: str, attributes: dict[str, str]) -> bool:
     )
 
 
-def _has_furniture_name(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
-    """By class or id, which may also be said of what surrounds an article."""
-    names = _names(attributes) if attributes else set()
+def _name(words: list[str], is_id: bool) -> int:
+    """The verdict on one class or id."""
+    words = [w for before, w in zip(["", *words], words, strict=False) if before not in _QUALIFIERS]
+    names = [w in _STRONG_WORDS or w in _WEAK_WORDS for w in words]
+    if not any(names):
+        return _NONE
+    first = names.index(True)
+    core = [w for i, w in enumerate(words) if w not in _PLACE_WORDS and (i < first or w not in _PART_WORDS)]
+    found = [w in _STRONG_WORDS or w in _WEAK_WORDS for w in core]
+    if core[-1] in _STRONG_WORDS or all(found) and (len(words) > 1 or not is_id):
+        return _SURE
+    return _WHOLE_ID if all(found) else _IN_DOUBT
+
+
+def _named(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """By class or id, which may also be said of a subject, or of what surrounds an article."""
     if tag in ("html", "body"):
-        return False
-    if tag == "header" or "header" in names:
-        if not in_article and names.isdisjoint(_HEADER_OF_ARTICLE):
-            return True
-    return not names.isdisjoint(_FURNITURE_WORDS)
+        return _NONE
+    classes = [_WORD.findall(c) for c in attributes.get("class", "").lower().split()]
+    # Ids of headings are made of their texts.
+    ids = [] if tag in _HEADINGS else [_WORD.findall(c) for c in attributes.get("id", "").lower().split()]
+    if not in_article:
+        called = tag == "header" or any({"header"} | _PLACE_WORDS | _PART_WORDS >= set(w) for w in [*classes, *ids] if "header" in w)
+        if called and _HEADER_OF_ARTICLE.isdisjoint(w for words in [*classes, *ids] for w in words):
+            return _SURE
+    return max([_NONE, *(_name(w, False) for w in classes), *(_name(w, True) for w in ids)])
 
 
 class _Element:
-    """`furniture`: surely none of the article; `named`: called so; `left_out`: the verdict."""
+    """`furniture`: surely none of the article; `named`, `doubt`: called so; `left_out`: the verdict."""
 
     __slots__ = (
-        "blocks", "children", "furniture", "interrupted", "left_out", "named", "parent", "points", "tag",
+        "blocks", "children", "doubt", "furniture", "interrupted", "left_out", "named", "parent", "points", "tag",
     )
 
-    def __init__(self, tag: str, parent: "_Element | None", furniture: bool, named: bool) -> None:
-        self.tag, self.parent, self.furniture, self.named = tag, parent, furniture, named
+    def __init__(self, tag: str, parent: "_Element | None", furniture: bool, named: int) -> None:
+        self.tag, self.parent, self.furniture = tag, parent, furniture
+        self.named, self.doubt = named == _SURE, named if named < _SURE else _NONE
         self.left_out = False
         self.interrupted: _Block | None = None
         self.children: list[_Element] = []
@@ -216,7 +250,7 @@ class _Tree:
     """The elements of a page, and its blocks in page order."""
 
     def __init__(self, html: str) -> None:
-        self.root = _Element("", None, False, False)
+        self.root = _Element("", None, False, _NONE)
         self.elements = [self.root]
         self.order: list[tuple[_Element, _Block]] = []
         self.open = [self.root]
@@ -242,9 +276,9 @@ class _Tree:
         if raw and _TELLING.search(raw):
             attributes = {n.lower(): a or b or c for n, a, b, c in _ATTRIBUTE.findall(raw)}
             furniture = _is_furniture(tag, attributes)
-            named = _has_furniture_name(tag, attributes, in_article)
+            named = _named(tag, attributes, in_article)
         else:
-            furniture, named = tag in _FURNITURE, tag == "header" and not in_article
+            furniture, named = tag in _FURNITURE, _SURE if tag == "header" and not in_article else _NONE
         if tag not in _INLINE and tag not in _INSIDE_TEXT:
             if tag in _CLOSES:
                 self._close(*_CLOSES[tag])
@@ -314,10 +348,21 @@ def _judge(elements: list[_Element]) -> None:
     for element in reversed(elements):
         if id(element) in holds_article or element.tag in _WHOLE and not (element.named or element.furniture):
             holds_article.add(id(element.parent))
+    chars: Counter[int] = Counter()
+    linked: Counter[int] = Counter()
+    if any(e.doubt for e in elements):
+        for element in reversed(elements):
+            chars[id(element)] += sum(len(b.text) for b in element.blocks)
+            linked[id(element)] += sum(b.linked for b in element.blocks)
+            chars[id(element.parent)] += chars[id(element)]
+            linked[id(element.parent)] += linked[id(element)]
     for element in elements:
         inherited = element.parent is not None and element.parent.left_out
-        named = element.named and id(element) not in holds_article
-        element.left_out = inherited or element.furniture or named
+        named = element.named
+        if element.doubt and element.tag not in _HEADINGS:
+            length = chars[id(element)]
+            named |= 2 * linked[id(element)] > length or element.doubt == _WHOLE_ID and length < _SHORT
+        element.left_out = inherited or element.furniture or named and id(element) not in holds_article
 
 
 def _score(elements: list[_Element]) -> None:
@@ -332,6 +377,8 @@ def _score(elements: list[_Element]) -> None:
             points = _POINTS_PER_BLOCK + block.text.count(",")
             points += min(len(block.text) / _CHARS_PER_POINT, _MOST_LENGTH_POINTS)
             own += points * (1 - min(1.0, block.linked / len(block.text)))
+        if element.doubt:
+            own, element.points = own * _DOUBT_SHARE, element.points * _DOUBT_SHARE
         parent = element.parent
         if parent is None:
             element.points += own
