@@ -52,6 +52,21 @@ def test_query_recall(spark):
             assert score == pytest.approx(float((np.array(rows[i], float) * own).sum()), abs=1e-15)
 
 
+@pytest.mark.parametrize("longest", [(3000.0,), (1e20,), (3000.0, 1e20, 1e-20, 1e150)])
+def test_recall_beside_long_vectors(spark, longest):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(2000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    for i, length in enumerate(longest):
+        base[i + 1] *= length
+    rows = {i: v.tolist() for i, v in enumerate(base)}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    truth = exact(rows, [i for i in rows if i % 40 == 0], 20)
+    found = results(nearest(df, F.col("vec_id") % 40 == 0, Search(least_shards=1)))
+    hits = sum(len({i for i, _ in truth[q]} & {i for i, _ in found[q]}) for q in truth)
+    assert hits >= 0.95 * 20 * len(truth)
+
+
 def test_unequal_lengths_and_copies(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(300, 8)) * rng.lognormal(size=(300, 1))

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product: a small-world graph per shard, results merged.
 
 Equal vectors are one graph node with the smallest ids that carry them, so a vector with a third of all
-rows is one node, and equal scores come out in the order of ids. Nodes are dealt to shards by a hash.
+rows is one node, and equal scores come out in the order of ids. Nodes are dealt to shards by their length
+in bands of a factor of 16, and by a hash within a band, so that no long vector blurs a shard of short ones.
 Each shard is one hierarchical navigable small-world graph, kept as flat arrays: nodes are numbered from
 the highest layer down, so layer l is a matrix of neighbour numbers for its first n_l nodes. The graphs
 are written to the shared folder; then every query visits every shard, a shard's task loading its graph
@@ -9,10 +10,12 @@ once and taking queries in blocks, and the best of all shards are kept. Searchin
 many vectors at once, one step of the beam for all of them.
 
 Largest inner product becomes nearest neighbour by one more component that gives all vectors of a shard
-equal length (zero for queries). Reported scores are inner products of the given vectors in doubles.
+equal length (zero for queries). For the graph, a shard's vectors and each query are scaled to lengths of
+1 at most. Reported scores are inner products of the given vectors in doubles.
 
 Bounds: a shard holds about `rows_per_shard` nodes, at most `top` + 1 ids are kept for a node (more
-cannot be reported), queries come in batches. The number of shards grows with the rows.
+cannot be reported), queries come in batches. The number of shards grows with the rows; lengths over the
+whole range of doubles add some 540 small ones at most.
 
 Defined results: rows whose id or vector is null, and vectors that are empty, zero or hold null or
 non-finite components take no part; vectors meet only vectors of their length; repeated rows count once,
@@ -47,6 +50,9 @@ class Search:
 PRODUCTION = Search()
 #: Beam entries that are expanded in one step, and new links a node takes from one batch.
 _WIDTH = 4
+#: Lengths in one shard differ by less than two to this; lengths near 1 lie in the middle of a band.
+_BAND_DOUBLINGS = 4
+_MOST_SHARDS = 1_000_000_000
 _NEW_LINKS = 16
 
 
@@ -203,14 +209,23 @@ class Graph:
         return beam_search(self.vectors, self.layers[0], queries, entry, beam)[0]
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Divided by powers of two to lengths of 1 at most, one power for each row."""
+    vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+    lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    return np.ldexp(vectors, -np.frexp(lengths)[1][:, None])
+
+
 def _levelled(vectors: np.ndarray) -> np.ndarray:
-    """One more component, so that all vectors have the length of the longest."""
+    """Scaled alike, and one more component, so that all have the length of the longest."""
+    vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max())[1])
     squares = np.einsum("ij,ij->i", vectors, vectors)
+    longest = np.sqrt(squares.max())
     rest = np.sqrt(np.maximum(0, squares.max() - squares))
-    return np.concatenate([vectors, rest[:, None]], axis=1).astype(np.float32)
+    return (np.concatenate([vectors, rest[:, None]], axis=1) / longest).astype(np.float32)
 
 
-_INDEX = "dim int, shard int, vectors binary, layers array<binary>, ids binary, owners binary"
+_INDEX = "dim int, shard long, vectors binary, layers array<binary>, ids binary, owners binary"
 
 
 def _build(how: Search):
@@ -230,7 +245,7 @@ def _build(how: Search):
         return pa.table(
             {
                 "dim": pa.array([dim], pa.int32()),
-                "shard": pa.array([shard], pa.int32()),
+                "shard": pa.array([shard], pa.int64()),
                 "vectors": pa.array([vectors.astype(np.float64).tobytes()], pa.binary()),
                 "layers": pa.array([[x.tobytes() for x in graph.layers]], pa.list_(pa.binary())),
                 "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
@@ -257,7 +272,7 @@ class _Shard:
 
     def best(self, queries: np.ndarray, how: Search) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids and scores of the best top + 1 of each query (one of them may be the query itself)."""
-        levelled = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
+        levelled = np.concatenate([_scaled(queries), np.zeros((len(queries), 1))], axis=1).astype(np.float32)
         found = self.graph.search(levelled, max(how.search_beam, 2 * how.top))
         results = []
         for query, nodes in zip(queries, found, strict=True):
@@ -316,6 +331,14 @@ def usable(rows: DataFrame) -> DataFrame:
     )
 
 
+def _band(vector: Column) -> Column:
+    """The band of a vector's length, from logarithms that no length exceeds."""
+    most = F.array_max(F.transform(vector, F.abs))
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
+    doublings = F.log2(most) + F.log2(squares) / 2
+    return F.floor(doublings / _BAND_DOUBLINGS + 0.5).cast("long")
+
+
 def nearest(rows: DataFrame, is_query: Column, how: Search = PRODUCTION) -> DataFrame:
     """(query_id, rank, vec_id, score): the `top` nearest rows found for each query row.
 
@@ -332,17 +355,18 @@ def nearest(rows: DataFrame, is_query: Column, how: Search = PRODUCTION) -> Data
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
         .select(
-            F.size("vector").alias("dim"), F.col("ids")[0].alias("node"), "ids", "vector"
+            F.size("vector").alias("dim"), _band(F.col("vector")).alias("band"), F.col("ids")[0].alias("node"), "ids", "vector"
         )
     )
     nodes, nodes_path = stored(nodes, "nodes")
-    dims = nodes.groupBy("dim").agg(
-        F.greatest(F.lit(how.least_shards), F.ceil(F.count("*") / how.rows_per_shard)).cast("int").alias("shards")
-    )
+    bands = nodes.groupBy("dim", "band").agg(F.count("*").alias("count"))
+    share = F.least(F.lit(float(how.rows_per_shard)), F.sum("count").over(Window.partitionBy("dim")) / how.least_shards)
+    dims = bands.select("dim", "band", F.ceil(F.col("count") / share).alias("shards"))
     dims, dims_path = stored(dims, "shards")
     tasks = min(20_000, 4 * (dims.agg(F.sum("shards")).first()[0] or 1))
-    dealt = nodes.join(dims, "dim").select(
-        "dim", F.pmod(F.xxhash64("node"), "shards").cast("int").alias("shard"), "node", "ids", "vector"
+    first = F.col("band") * F.lit(_MOST_SHARDS)
+    dealt = nodes.join(dims, ["dim", "band"]).select(
+        "dim", (first + F.pmod(F.xxhash64("node"), "shards")).alias("shard"), "node", "ids", "vector"
     )
     index = dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(_build(how), _INDEX)
     index, _ = stored(index, "graphs")
@@ -352,7 +376,7 @@ def nearest(rows: DataFrame, is_query: Column, how: Search = PRODUCTION) -> Data
         vectors.where(is_query)
         .select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.size("vector").alias("dim"))
         .join(dims, "dim")
-        .select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "query_id", "query")
+        .select("dim", F.explode(F.sequence(first, first + F.col("shards") - 1)).alias("shard"), "query_id", "query")
     )
     visits = (
         index.unionByName(queries, allowMissingColumns=True)
