@@ -23,7 +23,7 @@ def expected(text, items, how=decontaminate.PRODUCTION):
     words, found = normalised(text), {}
     for item_id, item in items:
         own = normalised(item)
-        if words and item_id is not None and len(own) >= how.least_words:
+        if words and item_id is not None and own and len(own) >= how.least_words:
             edits = fewest_edits(own, words)
             if edits <= int(how.error_share * len(own)):
                 found[item_id] = min(found.get(item_id, edits), edits)
@@ -92,7 +92,7 @@ def test_odd_rows_blocks_and_columns(spark):
         "item_id int, text string",
     )
     for chars in (1 << 20, 10):
-        how = Matching(block_chars=chars)
+        how = Matching(least_words=5, block_chars=chars)
         found = decontaminate.contaminated(docs, items, how).collect()
         assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in found) == [
             (0, 1, 0), (0, 2, 0), (1, 1, 0), (1, 1, 0), (1, 2, 0), (1, 2, 0), (5, 1, 1), (5, 2, 1),
@@ -104,6 +104,40 @@ def test_odd_rows_blocks_and_columns(spark):
     assert decontaminate.contaminated(docs.limit(0), items).collect() == []
 
 
+def test_short_items_are_found_exactly(spark):
+    docs = spark.createDataFrame(
+        [(1, "so: Alpha, beta gamma\ndelta!"), (2, "alpha beta gamma"), (3, "alpha beta delta gamma"), (4, "one"), (5, "ones")],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "ONE"), (3, "?!")], "item_id long, text string")
+    found = decontaminate.contaminated(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in found) == [(1, 1, 0), (4, 2, 0)]
+
+
+def test_characters_of_unspaced_scripts_are_words():
+    item = "我们今天在北京的大学里学习，明天去上海工作。"
+    own = normalised(item)
+    assert len(own) == 20
+    assert normalised("東京Tower2へ ไทย") == ["東", "京", "tower2", "へ", "ไ", "ท", "ย"]
+    block = Items([(1, item)], decontaminate.PRODUCTION)
+    rng = random.Random(3)
+    for edits in (0, 1, 4, 8):
+        for _ in range(20):
+            text = "前面的话，" + "".join(edited(rng, own, edits, list("天地人和"))) + "后面的话"
+            assert {i: e for i, e, _ in block.found(text)} == expected(text, [(1, item)])
+    assert [e for _, e, _ in block.found("说：" + item.replace("北京", "南京") + "完")] == [1]
+
+
+def test_more_blocks_than_a_worker_keeps(spark):
+    passages = {i: " ".join(f"p{i}x{j}" for j in range(10)) for i in range(12)}
+    items = spark.createDataFrame(list(passages.items()), "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"a {passages[i]} b") for i in passages], "doc_id long, text string")
+    how = Matching(block_chars=60)
+    assert len(list(decontaminate._blocks(items, how))) > decontaminate._MOST_BUILT
+    found = decontaminate.contaminated(docs, items, how).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(i, i) for i in passages]
+
+
 @pytest.mark.parametrize("share", [0.0, 0.1, 0.5])
 def test_error_share(share):
     item = " ".join(f"w{i}" for i in range(20))

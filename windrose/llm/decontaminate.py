@@ -1,6 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts are compared as lower-cased words (runs of letters and digits). An item of n words may differ
+Texts are compared as lower-cased words: runs of letters and digits, and single characters of scripts that
+are written without spaces. An item of n words may differ
 from a passage by k = floor(error_share * n) inserted, deleted or changed words. It is cut into k + 1
 pieces; a passage within k edits holds at least one piece unchanged. One automaton finds all exact
 piece hits in a text, and each hit's surroundings are verified with Myers' bit-parallel distance,
@@ -10,8 +11,11 @@ Documents are read once for each block of items and never shuffled: a passage th
 share is only work for the tasks that hold them. The items go to the executors in blocks of at most
 about `block_chars` characters, as many as it takes.
 
-Defined results: null and wordless texts hold nothing; items that are null or shorter than
-`least_words` words are not searched, as chance would find them everywhere; items that repeat are all
+Items of fewer than five words have no budget and are found where all their words stand in a row.
+`least_words` leaves out shorter items, if a benchmark has some that are no passages.
+
+Defined results: null and wordless texts hold nothing; items that are null, wordless or shorter than
+`least_words` words are not searched; items that repeat are all
 reported, an item id that repeats with its nearest text; rows that repeat are judged alike; without
 items nothing matches.
 """
@@ -30,13 +34,20 @@ from pyspark.sql import functions as F
 from windrose.llm.common import prepare, table
 
 _WORDS = re.compile(r"[^\W_]+")
+#: Blocks of Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese characters.
+_BLOCKS = (
+    "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_UNSPACED = re.compile(f"[{_BLOCKS}]")
+_UNITS = re.compile(f"[{_BLOCKS}]|[^{_BLOCKS}]+")
 _FOUND = "array<struct<item_id: bigint, edits: int, word: bigint>>"
 
 
 @dataclass(frozen=True)
 class Matching:
     error_share: float = 0.2
-    least_words: int = 5
+    least_words: int = 1
     block_chars: int = 2 << 20
 
 
@@ -44,7 +55,10 @@ PRODUCTION = Matching()
 
 
 def normalised(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
+    words = _WORDS.findall((text or "").lower())
+    if not text or text.isascii() or not _UNSPACED.search(text):
+        return words
+    return [unit for word in words for unit in _UNITS.findall(word)]
 
 
 def nearest(pattern: dict[str, int], size: int, words: list[str]) -> int:
@@ -80,7 +94,7 @@ class Items:
         self.pieces = ahocorasick.Automaton()
         for item_id, text in rows:
             words = normalised(text)
-            if item_id is None or len(words) < how.least_words:
+            if item_id is None or len(words) < max(1, how.least_words):
                 continue
             budget = int(how.error_share * len(words))
             places: dict[str, int] = {}
