@@ -49,7 +49,7 @@ _MANIFEST = "part int, path string, documents long, tokens long"
 _PIECE = 1 << 20
 _KEPT_PIECES = 600_000
 #: Characters of a group of texts, and pieces that one call of the library encodes.
-_GROUP = 16 << 20
+_GROUP = 4 << 20
 _JOINED = 500
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSE = re.compile(r" \s|\s ")
