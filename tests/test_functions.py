@@ -28,6 +28,15 @@ def test_strip_removes_every_unicode_space(spark):
     assert set(text.WHITESPACE) == set(every_space)
 
 
+def test_strip_equals_python(spark):
+    rng = random.Random(6)
+    given = ["".join(rng.choices(" \t\xa0\u3000ab", k=rng.randrange(6))) for _ in range(500)]
+    assert applied(spark, given, T.StringType(), text.strip) == [x.strip() for x in given]
+    # The list of all white space is only for texts that a plain trim leaves with some.
+    plan = spark.range(1).select(text.strip(F.col("id").cast("string")))._jdf.queryExecution().toString()
+    assert "trim(cast(id" in plan and "CASE WHEN" in plan
+
+
 def test_numbers_reject_what_is_not_decimal(spark):
     given = ["1", " 2.5 ", "-3e2", "inf", "-Infinity", "1d", "2F", "0x1p3", "nan", "n/a", "", None]
     expected = [1.0, 2.5, -300.0, math.inf, -math.inf] + [None] * 7

@@ -1,6 +1,7 @@
 """Frames, interval lookup, latest row, checks and upserts."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -19,7 +20,8 @@ from windrose.operators import intervals
 from windrose.operators.intervals import best_covering
 from windrose.operators.latest import latest_per_key
 from windrose.operators.upsert import merge_kpis, upsert_kpis
-from windrose.schemas import GOLD_SCHEMA
+from windrose.plans import silver
+from windrose.schemas import GOLD_INPUT_COLUMNS, GOLD_SCHEMA, STATE_COLUMNS
 from windrose.session import new_path
 from windrose.sources.tables import kpis_of, read_kpis, write_partitions
 from windrose.sources.versions import current_version, partitions_in
@@ -157,6 +159,15 @@ def test_latest_takes_greatest_and_partial_aggregates(spark):
     assert plan.rindex("partial_max_by") > plan.index("Exchange")
 
 
+def test_only_asked_columns_go_through_the_latest_rows(spark):
+    row = {c: "1" for c in STATE_COLUMNS} | {"pos": 1, "window_start": datetime(2024, 1, 1)}
+    raw = spark.createDataFrame([row, row | {"pos": 2, "callsign": "x", "velocity": "2"}])
+    whole, some = silver.silver(raw), silver.silver(raw, columns=GOLD_INPUT_COLUMNS)
+    assert some.collect() == whole.select(*GOLD_INPUT_COLUMNS).collect() and len(some.collect()) == 1
+    shuffled = re.search(r"max_by\(struct\(([^)]*)\)", some._jdf.queryExecution().optimizedPlan().toString())[1]
+    assert "velocity" in shuffled and "callsign" not in shuffled
+
+
 @pytest.mark.parametrize("grid", [1, 60, 1800])
 def test_best_covering_equals_brute_force(spark, grid):
     random.seed(grid)

@@ -23,8 +23,14 @@ _DECIMAL = r"(?i)^\s*[+-]?(inf(inity)?|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*$"
 
 
 def strip(c: Column) -> Column:
-    """Trim all Unicode white space; the one-argument `trim` knows only the space."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Trim all Unicode white space; the one-argument `trim` knows only the space.
+
+    It is several times as fast, so only texts that it leaves with other white space at an end take
+    the long list.
+    """
+    spaced = F.trim(c)
+    others = [F.substring(spaced, place, 1).isin(*WHITESPACE) for place in (1, -1)]
+    return F.when(others[0] | others[1], F.btrim(c, F.lit(WHITESPACE))).otherwise(spaced)
 
 
 def text_or(c: Column, default: str) -> Column:

@@ -1,5 +1,7 @@
 """Silver: typed, cleaned, one row per (window, vehicle)."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from windrose.schemas import (
 )
 
 
+#: What ages and flags are computed from.
+_FLAGGED = ["time_position", "last_contact", "on_ground", "velocity"]
+
+
 def normalise_keys(raw: DataFrame) -> DataFrame:
     """Clean the vehicle, callsign and country texts; drop rows without a vehicle."""
     return raw.withColumns(
@@ -37,14 +43,14 @@ def clean_states(raw: DataFrame) -> DataFrame:
     return coerce_flags(coerce_numbers(normalise_keys(raw)))
 
 
-def latest_per_vehicle(states: DataFrame) -> DataFrame:
+def latest_per_vehicle(states: DataFrame, kept: Sequence[str] | None = None) -> DataFrame:
     """The row with the latest contact per (window, vehicle); payload order breaks ties.
 
     Positions repeat between documents of one window; a hash of the row then decides, so that the
     result does not depend on the order of tasks.
     """
     order = [F.col("last_contact"), -F.col("pos"), F.xxhash64(*states.columns)]
-    return latest_per_key(states, ["icao24", "window_start"], order)
+    return latest_per_key(states, ["icao24", "window_start"], order, kept)
 
 
 def _age(reference: Column, seen: Column) -> Column:
@@ -81,12 +87,15 @@ def with_ages_and_flags(
     )
 
 
-def silver(raw: DataFrame, **thresholds) -> DataFrame:
-    """Raw state rows (`pos`, `window_start`, state columns) to the silver table."""
+def silver(raw: DataFrame, *, columns: Sequence[str] = SILVER_COLUMNS, **thresholds) -> DataFrame:
+    """Raw state rows (`pos`, `window_start`, state columns) to the silver table, or some columns of it.
+
+    All columns decide which of two rows is the latest, but only those that are asked for, and what
+    ages and flags need, are shuffled with it.
+    """
     states = raw.select("pos", *[c for c in SILVER_COLUMNS if c in raw.columns])
-    latest = latest_per_vehicle(clean_states(states))
-    return (
-        with_ages_and_flags(latest, **thresholds)
-        .withColumn("position_source", F.col("position_source").try_cast("int"))
-        .select(*SILVER_COLUMNS)
-    )
+    latest = latest_per_vehicle(clean_states(states), [*columns, *_FLAGGED])
+    flagged = with_ages_and_flags(latest, **thresholds)
+    if "position_source" in columns:
+        flagged = flagged.withColumn("position_source", F.col("position_source").try_cast("int"))
+    return flagged.select(*columns)

@@ -11,6 +11,7 @@ from windrose.operators.upsert import upsert_kpis, upsert_overrides
 from windrose.plans import gold, overrides, risk, silver, views
 from windrose.schemas import (
     CSV,
+    GOLD_INPUT_COLUMNS,
     GOLD_SCHEMA,
     INGESTION_FIELD,
     KPI_KEY,
@@ -73,8 +74,12 @@ def _measures(spark: SparkSession, folder: str) -> DataFrame:
     return gold.with_measures(_silver(spark, folder))
 
 
+def _kpis_of(raw: DataFrame) -> DataFrame:
+    return gold.gold_kpis(silver.silver(raw, columns=GOLD_INPUT_COLUMNS))
+
+
 def _gold(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.gold_kpis(_silver(spark, folder))
+    return _kpis_of(read_raw_states(spark, folder))
 
 
 def _kpis(spark: SparkSession, folder: str) -> DataFrame:
@@ -457,7 +462,7 @@ def _batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     raw = read_raw_states(spark, folder)
     first = raw.filter(F.col("ts") < _FIRST_BATCH_UNTIL)
     second = raw.filter(F.col("ts") >= _SECOND_BATCH_FROM)
-    return gold.gold_kpis(silver.silver(first)), gold.gold_kpis(silver.silver(second))
+    return _kpis_of(first), _kpis_of(second)
 
 
 def kpi_upsert(spark, folder):
