@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -153,3 +154,14 @@ def test_sequences_are_views_of_the_file(spark, tmp_path):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert token_files.tokenised(docs, public_tokenizer()).collect() == []
+
+
+def test_an_encoder_keeps_little_of_texts_with_ever_new_words():
+    encoder = Encoder(public_tokenizer())
+    tracemalloc.start()
+    for first in range(0, 600_000, 50_000):
+        text = " ".join(f"w{i:x}" for i in range(first, first + 50_000))
+        assert len(list(encoder.encoded_each([text]))) == 1
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 40e6

@@ -47,9 +47,9 @@ from windrose.session import new_path
 
 _MANIFEST = "part int, path string, documents long, tokens long"
 _PIECE = 1 << 20
-_KEPT_PIECES = 600_000
+_KEPT_PIECES = 150_000
 #: Characters of a group of texts, and pieces that one call of the library encodes.
-_GROUP = 4 << 20
+_GROUP = 2 << 20
 _JOINED = 500
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSE = re.compile(r" \s|\s ")
