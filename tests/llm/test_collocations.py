@@ -130,3 +130,28 @@ def test_query_equals_sql(spark):
     name = "op13_phrase_collocations"
     df = collocations.QUERIES[name](spark, SF)
     assert compare.differences(df, compare.connect(SF), collocations.ORACLE_SQL[name]) == []
+
+
+def test_counts_of_many_phrases_are_kept_in_few_rows(spark, monkeypatch):
+    """Ever new phrases cost bytes, not rows."""
+    rows = [(i, " ".join(f"w{i}x{j} of" for j in range(50)), "en", "x", 1, "y") for i in range(90)]
+    sizes, plainly = [], collocations.stored
+
+    def stored(df, label):
+        found = plainly(df, label)
+        if label == "phrase-counts":
+            sizes.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(collocations, "stored", stored)
+    how = Mining(bits=1 << 16)
+    assert result(spark, rows, how) == plain(rows, how)
+    assert sizes and max(sizes) < 50
+
+
+def test_a_phrase_has_one_bucket():
+    phrases = pa.array([f"été {i} {'x' * (i % 300)}" for i in range(2000)] + [""], pa.large_string())
+    found = collocations.buckets_of(phrases, 16)
+    assert np.bincount(found, minlength=16).min() > 60
+    assert (collocations.buckets_of(phrases[700:], 16) == found[700:]).all()
+    assert (collocations.buckets_of(phrases.take(pa.array(range(0, 2001, 7))), 16) == found[::7]).all()

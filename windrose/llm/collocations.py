@@ -14,9 +14,11 @@ frequent phrase are frequent, hence every frequent phrase gets its cycle. More p
 maps suit cost more rows to count, not results.
 
 A step counts in its tasks, then joins new counts to those of the phrases still in their cycle by one
-shuffle on (language, phrase), and writes them; words, bigrams and so on of one kind meet only as counts, so
-no frequent phrase is a hot key. Frequent phrases, their cuts and their containing phrases are joined as
-tables. The driver holds the bit maps and step numbers only.
+shuffle, and writes them; words, bigrams and so on of one kind meet only as counts, so no frequent phrase is a
+hot key. What is shuffled and written is blocks: a row holds many phrases of a language and of one bucket of a hash of
+their bytes, with their counts, as packed columns; a bucket's blocks meet in one task, which merges them language by
+language. The number of buckets grows with the texts. Frequent phrases become rows; they, their cuts and their containing
+phrases are joined as tables. The driver holds the bit maps and step numbers only.
 
 Defined results: a null text is empty, a null language is 'und'. Each row of the table counts, also
 copies. Words are bytes other than space and tab, so anything else that is no separator belongs to a
@@ -25,6 +27,8 @@ word. Empty tables, and languages without frequent phrases, give no rows. `docs`
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +46,11 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PROBES = 3
 _KEPT_ROWS = 800_000
 _SENT_ROWS = 50_000
-_CHUNK = 2 << 20
+_READ_BYTES = 16 << 20
+#: Phrases of a block that is kept, and bytes of text for each bucket.
+_BLOCK_ROWS = 100_000
+_BUCKET_BYTES = 8 << 20
+_CHUNK = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -82,10 +90,68 @@ def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found.reshape(_PROBES, -1).all(axis=0)
 
 
+_POWERS = (np.cumprod(np.full(256, _MIX)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_BLOCK = "lang string, bucket int, fresh boolean, lengths binary, text binary, sizes binary, counts binary, last binary"
+_MERGED = f"{_BLOCK}, done array<string>, done_size array<int>, done_n array<long>, hit array<string>"
+
+
+def _spelled(phrases: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each phrase starts and the last ends, and the bytes."""
+    _, places, content = phrases.buffers()
+    offsets = np.frombuffer(places, np.int64)[phrases.offset : phrases.offset + len(phrases) + 1]
+    return offsets - offsets[0], np.frombuffer(content or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+
+def _strings(lengths: np.ndarray, text: bytes) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(text))
+
+
+def buckets_of(phrases: pa.Array, buckets: int) -> np.ndarray:
+    """A bucket for each phrase, by its bytes."""
+    offsets, data = _spelled(phrases)
+    place = (np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))).astype(np.uint8)
+    sums = np.zeros(len(data) + 1, np.uint32)
+    np.cumsum((data + np.uint32(1)) * _POWERS[place], dtype=np.uint32, out=sums[1:])
+    mixed = (sums[offsets[1:]] - sums[offsets[:-1]]).astype(np.uint64) * _MIX
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    return numbers.astype(np.min_scalar_type(numbers.max(initial=0))).tobytes()
+
+
+def _wide_again(packed: bytes, count: int) -> np.ndarray:
+    """What `_narrow` packed; the width follows from how many there were."""
+    return np.frombuffer(packed, f"u{len(packed) // count}").astype(np.int64)
+
+
+def _block(lang: str, bucket: int, phrases: pa.Array, sizes: np.ndarray, counts: np.ndarray, last: np.ndarray | None = None) -> dict:
+    """A row of phrases; `counts` has a number for each, or with `last` one for each and each shard."""
+    offsets, data = _spelled(phrases)
+    return {
+        "lang": lang,
+        "bucket": bucket,
+        "fresh": last is None,
+        "lengths": np.diff(offsets).astype(np.uint32).tobytes(),
+        "text": data.tobytes(),
+        "sizes": sizes.tobytes(),
+        "counts": _narrow(counts),
+        "last": b"" if last is None else last.tobytes(),
+    }
+
+
+def _arrow_schema(ddl: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    kinds |= {f"array<{name}>": pa.list_(kind) for name, kind in kinds.items()}
+    return pa.schema([(name, kinds[kind]) for name, kind in map(str.split, ddl.split(", "))])
+
+
 class _Counts:
     """Counts of phrases by language and size, merged whenever many rows have come together."""
 
-    def __init__(self) -> None:
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
         self.parts: dict[tuple[str, int], list[tuple[pa.Array, np.ndarray]]] = {}
         self.rows = 0
 
@@ -100,6 +166,9 @@ class _Counts:
     def merge(self) -> None:
         self.rows = 0
         for key, parts in self.parts.items():
+            if len(parts) == 1:
+                self.rows += len(parts[0][1])
+                continue
             coded = pa.concat_arrays([p for p, _ in parts]).dictionary_encode()
             n = np.zeros(len(coded.dictionary), np.int64)
             np.add.at(n, coded.indices.to_numpy(), np.concatenate([n for _, n in parts]))
@@ -107,12 +176,28 @@ class _Counts:
             self.rows += len(n)
 
     def drain(self) -> Iterator[pa.RecordBatch]:
+        """All counts as blocks, one for each language and bucket."""
         self.merge()
-        for (lang, size), [(phrases, n)] in self.parts.items():
-            for first in range(0, len(n), _SENT_ROWS):
-                some = phrases[first : first + _SENT_ROWS].cast(pa.string())
-                columns = [pa.repeat(pa.scalar(lang), len(some)), pa.repeat(pa.scalar(size, pa.int32()), len(some)), some, pa.array(n[first : first + _SENT_ROWS])]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
+        schema = _arrow_schema(_BLOCK)
+        for lang in sorted({lang for lang, _ in self.parts}):
+            own = [(size, *parts[0]) for (name, size), parts in self.parts.items() if name == lang]
+            phrases = pa.concat_arrays([p for _, p, _ in own])
+            sizes = np.repeat(np.array([size for size, _, _ in own], np.uint8), [len(p) for _, p, _ in own])
+            n = np.concatenate([n for _, _, n in own])
+            parts = [buckets_of(phrases[i : i + _SENT_ROWS], self.buckets) for i in range(0, len(phrases), _SENT_ROWS)]
+            bucket = np.concatenate(parts)
+            order = np.argsort(bucket, kind="stable")
+            bounds = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+            rows, held = [], 0
+            for i in np.flatnonzero(np.diff(bounds)):
+                some = order[bounds[i] : bounds[i + 1]]
+                rows.append(_block(lang, int(i), phrases.take(pa.array(some)), sizes[some], n[some]))
+                held += len(some)
+                if held >= _SENT_ROWS:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema)
         self.parts, self.rows = {}, 0
         pa.default_memory_pool().release_unused()
 
@@ -146,7 +231,7 @@ class Scanner:
         if not self.recent.any():
             return
         hashes = word_hashes(self.lang, terms.cast(pa.large_binary()).to_pylist())
-        known, new = holds(self.reached, hashes)[ids], holds(self.recent, hashes)[ids]
+        known, new = (found[ids] for found in self._states(hashes))
         hashes = hashes[ids]
         for size in range(2, self.longest + 1):
             # At i: whether the phrase of size - 1 words from i on has been reached, and in the last cycle.
@@ -164,8 +249,15 @@ class Scanner:
             at = np.flatnonzero(both)
             hashes_of = joined(*[hashes[at + i] for i in range(size)])
             known, new = np.zeros(len(both), bool), np.zeros(len(both), bool)
-            known[at] = holds(self.reached, hashes_of)
-            new[at] = holds(self.recent, hashes_of)
+            known[at], new[at] = self._states(hashes_of)
+
+    def _states(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which have been reached, and which of them in the last cycle."""
+        known = holds(self.reached, hashes)
+        new = np.zeros(len(hashes), bool)
+        at = np.flatnonzero(known)
+        new[at] = holds(self.recent, hashes[at])
+        return known, new
 
     @staticmethod
     def _phrases(terms: pa.Array, ids: np.ndarray, at: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
@@ -185,26 +277,123 @@ class Scanner:
         return pc.binary_join_element_wise(*words, pa.scalar(" ", terms.type)), n
 
 
-_COUNTED = "lang string, size int, phrase string, n long"
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in tables of some `_READ_BYTES`."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _READ_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-def _scan(texts: DataFrame, how: Mining, words: bool, reached: np.ndarray, recent: np.ndarray) -> DataFrame:
-    """(lang, size, phrase, n) of the active phrases, several rows for a phrase."""
+def _scan(texts: DataFrame, how: Mining, buckets: int, words: bool, reached: np.ndarray, recent: np.ndarray) -> DataFrame:
+    """Blocks of the active phrases and their counts, a phrase in several of its bucket's."""
     sent = texts.sparkSession.sparkContext.broadcast((reached, recent))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _Counts()
-        for batch in batches:
-            langs = batch.column("lang").dictionary_encode()
+        counts = _Counts(buckets)
+        for batch in _larger(batches):
+            langs = batch.column("lang").combine_chunks().dictionary_encode()
             for number, lang in enumerate(langs.dictionary.to_pylist()):
-                mine = batch.column("text").filter(pc.equal(langs.indices, number))
+                mine = batch.column("text").filter(pc.equal(langs.indices, number)).combine_chunks()
                 scanner = Scanner(lang, how.longest, words, *sent.value)
                 for chunk in word_chunks(mine, PIECES, _CHUNK):
                     for size, phrases, n in scanner.counts(chunk):
                         yield from counts.add(lang, size, phrases, n)
         yield from counts.drain()
 
-    return texts.mapInArrow(scan, _COUNTED)
+    return texts.mapInArrow(scan, _BLOCK)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+
+
+def _opened(blocks: list[dict]) -> tuple[pa.Array, np.ndarray]:
+    """The phrases of blocks, and their sizes."""
+    lengths = np.concatenate([np.frombuffer(b["lengths"], np.uint32) for b in blocks])
+    return _strings(lengths, b"".join(b["text"] for b in blocks)), np.frombuffer(b"".join(b["sizes"] for b in blocks), np.uint8)
+
+
+def _kept_counts(block: dict, shards: int) -> np.ndarray:
+    """A kept block's counts, a column for each shard."""
+    return _wide_again(block["counts"], len(block["sizes"]) * shards).reshape(-1, shards)
+
+
+def _merge(blocks: DataFrame, how: Mining, step: int) -> DataFrame:
+    """Blocks of the phrases whose cycle goes on after a step, frequent phrases whose cycle is over, and those that became frequent.
+
+    `blocks` has all of a bucket and language in a run of rows.
+    """
+    shard = step % how.shards
+
+    def merged(lang: str, bucket: int, blocks: list[dict]) -> Iterator[dict]:
+        blocks.sort(key=itemgetter("fresh"))  # kept phrases come first, and once each
+        kept, fresh = [b for b in blocks if not b["fresh"]], [b for b in blocks if b["fresh"]]
+        phrases, sizes_of = _opened(blocks)
+        coded = phrases.dictionary_encode()
+        phrases, number = coded.dictionary, coded.indices.to_numpy()
+        known = sum(len(b["sizes"]) for b in kept)
+        sizes = np.zeros(len(phrases), np.uint8)
+        sizes[number] = sizes_of
+        last, counts = np.full(len(phrases), step, np.int32), np.zeros((len(phrases), how.shards), np.int64)
+        if kept:
+            last[:known] = np.frombuffer(b"".join(b["last"] for b in kept), np.int32)
+            counts[:known] = np.concatenate([_kept_counts(b, how.shards) for b in kept])
+        last[number[known:]] = step
+        new = np.zeros(len(phrases), np.int64)
+        if fresh:
+            np.add.at(new, number[known:], np.concatenate([_wide_again(b["counts"], len(b["sizes"])) for b in fresh]))
+        before = counts.sum(axis=1)
+        counts[:, shard] = np.maximum(counts[:, shard], new)
+        total = counts.sum(axis=1)
+
+        over = last <= step - how.shards + 1
+        done = np.flatnonzero(over & ((total >= how.least) | (sizes == 0)))
+        hit = np.flatnonzero((before < how.least) & (total >= how.least) & (sizes >= 1) & (sizes < how.longest))
+        if len(done) or len(hit):
+            none = np.zeros(0, np.int64)
+            found = {"done": phrases.take(pa.array(done)).to_pylist(), "done_size": sizes[done].tolist(), "done_n": total[done].tolist()}
+            yield _block(lang, bucket, phrases[:0], sizes[:0], none, none) | found | {"hit": phrases.take(pa.array(hit)).to_pylist()}
+        going = np.flatnonzero(~over)
+        for first in range(0, len(going), _BLOCK_ROWS):
+            some = going[first : first + _BLOCK_ROWS]
+            yield _block(lang, bucket, phrases.take(pa.array(some)), sizes[some], counts[some], last[some])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _arrow_schema(_MERGED)
+        for (bucket, lang), run in groupby(_blocks(batches), itemgetter("bucket", "lang")):
+            for row in merged(lang, bucket, list(run)):
+                yield pa.RecordBatch.from_pylist([row], schema)
+        pa.default_memory_pool().release_unused()
+
+    return blocks.mapInArrow(merge, _MERGED)
+
+
+def _counted(state: DataFrame, how: Mining) -> DataFrame:
+    """(lang, size, phrase, n) of the frequent phrases in kept blocks."""
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            phrases, sizes = _opened([block])
+            total = _kept_counts(block, how.shards).sum(axis=1)
+            some = np.flatnonzero((total >= how.least) | (sizes == 0))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.repeat(pa.scalar(block["lang"]), len(some)),
+                    "size": pa.array(sizes[some], pa.int32()),
+                    "phrase": phrases.take(pa.array(some)).cast(pa.string()),
+                    "n": pa.array(total[some], pa.int64()),
+                }
+            )
+
+    return state.mapInArrow(opened, "lang string, size int, phrase string, n long")
 
 
 def _marked(phrases: DataFrame, how: Mining) -> np.ndarray:
@@ -244,42 +433,32 @@ def frequent_phrases(docs: DataFrame, how: Mining = PRODUCTION) -> DataFrame:
     texts.write.partitionBy("shard").parquet(shards)
     whole = spark.read.schema(texts.schema).parquet(shards)
 
-    by_shard = [f"c{i}" for i in range(how.shards)]
-    total = sum((F.col(c) for c in by_shard[1:]), F.col(by_shard[0]))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(max(1, -(-size // _BUCKET_BYTES)), 1 << 20)
     state, state_path, found = None, None, []
     recent = []  # bit maps of what each of the last steps of a cycle reached
     reached = np.zeros(how.bits // 64, np.uint64)
     step = 0
     while step < how.shards or any(r.any() for r in recent):
         now = np.bitwise_or.reduce(recent) if recent else np.zeros_like(reached)
-        shard = step % how.shards
-        counted = _scan(whole.filter(F.col("shard") == shard), how, step < how.shards, reached, now)
-        rows = counted.select(
-            "lang", "size", "phrase", F.col("n").alias("new"), *[F.lit(0).cast("long").alias(c) for c in by_shard],
-            F.lit(step).alias("last"),
-        )
+        blocks = _scan(whole.filter(F.col("shard") == step % how.shards), how, buckets, step < how.shards, reached, now)
         if state is not None:
-            rows = rows.unionByName(state.withColumn("new", F.lit(0).cast("long")))
-        merged = rows.groupBy("lang", "size", "phrase").agg(
-            F.sum("new").alias("new"), *[F.max(c).alias(c) for c in by_shard], F.max("last").alias("last")
-        )
-        current = by_shard[shard]
-        merged = merged.withColumn("before", total).withColumn(current, F.greatest(current, "new")).drop("new")
-        # Whether a phrase has reached `least` in this step.
-        merged = merged.withColumn("hit", (F.col("before") < how.least) & (total >= how.least)).drop("before")
-        merged, path = stored(merged, "phrase-counts")
+            blocks = blocks.unionByName(state)
+        dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang")
+        merged, path = stored(_merge(dealt, how, step), "phrase-counts")
         if state_path:
             discard(spark, state_path)
-        over = F.col("last") <= step - how.shards + 1
-        complete = merged.filter(over & ((total >= how.least) | (F.col("size") == 0)))
-        complete, _ = stored(complete.select("lang", "size", "phrase", total.alias("n")), "phrases")
+        one = F.explode(F.arrays_zip("done", "done_size", "done_n")).alias("one")
+        complete = merged.select("lang", one).select("lang", "one.done_size", "one.done", "one.done_n").toDF("lang", "size", "phrase", "n")
+        complete, _ = stored(complete, "phrases")
         found.append(complete)
-        marked = _marked(merged.filter(F.col("hit") & F.col("size").between(1, how.longest - 1)).select("lang", "phrase"), how)
+        marked = _marked(merged.select("lang", F.explode("hit").alias("phrase")), how)
         recent = [*recent, marked][-how.shards :]
         reached = reached | marked
-        state, state_path = merged.filter(~over).drop("hit"), path
+        kept = merged.filter(F.octet_length("sizes") > 0)
+        state, state_path = kept.select(*(name.split(" ")[0] for name in _BLOCK.split(", "))), path
         step += 1
-    found.append(state.filter((total >= how.least) | (F.col("size") == 0)).select("lang", "size", "phrase", total.alias("n")))
+    found.append(_counted(state, how))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)

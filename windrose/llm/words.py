@@ -74,16 +74,17 @@ def word_chunks(texts: pa.Array, rule: ByteRule, limit: int = _CHUNK) -> Iterato
     while start < end:
         stop = end if end - start <= limit else _cut(data, kinds, rows, start + limit)
         kind = kinds[data[start:stop]]
+        place = np.int32 if stop - start < 1 << 31 else np.int64
         letter = kind == _LETTER
         first = letter.copy()
         first[1:] &= ~letter[:-1]
         starts = rows[np.searchsorted(rows, start) : np.searchsorted(rows, stop)] - start
         first[starts] |= letter[starts]
         at = np.flatnonzero(first)
-        breaks = np.cumsum(kind == _BREAK, dtype=np.int64) if rule.breaks else np.zeros(stop - start, np.int64)
+        breaks = np.cumsum(kind == _BREAK, dtype=place) if rule.breaks else np.zeros(stop - start, np.int64)
         if len(at):
             offsets = np.empty(len(at) + 1, np.int64)
-            offsets[:-1] = np.cumsum(letter, dtype=np.int64)[at] - 1
+            offsets[:-1] = np.cumsum(letter, dtype=place)[at] - 1
             spelled = written[data[start:stop][letter]]
             offsets[-1] = len(spelled)
             words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(spelled))
@@ -93,7 +94,7 @@ def word_chunks(texts: pa.Array, rule: ByteRule, limit: int = _CHUNK) -> Iterato
                 coded.dictionary,
                 coded.indices.to_numpy().astype(np.int64),
                 row,
-                breaks[at] + broken + row,
+                row + broken + breaks[at],
                 not len(starts) or starts[0] > 0,
             )
         broken += int(breaks[-1])
