@@ -155,3 +155,57 @@ def test_a_phrase_has_one_bucket():
     assert np.bincount(found, minlength=16).min() > 60
     assert (collocations.buckets_of(phrases[700:], 16) == found[700:]).all()
     assert (collocations.buckets_of(phrases.take(pa.array(range(0, 2001, 7))), 16) == found[::7]).all()
+
+
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    """All cycles scan the numbers of words that the texts were cut into at first."""
+    rows, scanned, plainly = corpus(5, 90), [], collocations._scan
+
+    def scan(shard, *more):
+        scanned.append(set(shard.columns))
+        return plainly(shard, *more)
+
+    monkeypatch.setattr(collocations, "_scan", scan)
+    how = Mining(least=5, bits=1 << 16)
+    assert result(spark, rows, how) == plain(rows, how)
+    assert len(scanned) > how.shards and all("numbers" in columns for columns in scanned)
+
+
+@pytest.mark.parametrize("limit", [9, 1 << 20])
+def test_numbers_of_words_count_as_the_texts(limit):
+    texts = ["a b c. d, e f a b " * 9, None, "a b,c " * 5, "é " + "a b c d " * 30]
+    full = np.full(16, np.uint64(2**64 - 1))
+    scanner, other = (Scanner("en", 4, True, full, full) for _ in range(2))
+    coder, again = collocations.Coder("en", 4), []
+    for chunk in word_chunks(pa.array(texts), collocations.PIECES, limit):
+        row = collocations._coded_row("en", 0, coder.coded(chunk))
+        for _ in range(2):
+            again.append([(s, p.to_pylist(), n.tolist()) for s, p, n in other.coded_counts(collocations._decoded(row))])
+        assert again[-1] == again[-2] == [(s, p.to_pylist(), n.tolist()) for s, p, n in scanner.counts(chunk)]
+    assert again
+
+
+@pytest.mark.parametrize("terms", [3, 300, 70_000])
+@pytest.mark.parametrize("size", [2, 3, 4, 5])
+def test_distinct_phrases_of_few_and_many_words(terms, size):
+    rng = np.random.default_rng(terms)
+    numbers = rng.integers(1, terms + 1, 400)
+    numbers[200:] = numbers[:200]
+    words, at = pa.array([f"w{i}" for i in range(terms)], pa.large_string()), np.arange(0, 400 - size, 3)
+    phrases, n = Scanner._phrases(words, numbers, at, size)
+    expected = Counter(" ".join(f"w{x - 1}" for x in numbers[i : i + size]) for i in at)
+    assert dict(zip(phrases.to_pylist(), n.tolist(), strict=True)) == expected
+
+
+def test_phrases_are_hashed_together():
+    phrases = [f"w{i} v{i % 7}" for i in range(50)] + ["w1", "é", "a b c", "", "w1 v1"]
+    found = np.concatenate(list(collocations._phrase_hashes("de", pa.array(phrases))))
+    each = [collocations.joined(*word_hashes("de", p.encode().split(b" "))[:, None]) for p in phrases]
+    assert sorted(found.tolist()) == sorted(np.concatenate(each).tolist())
+    bitmap = np.zeros(64, np.uint64)
+    probes = collocations._probes(found[:60], 64 * 64)
+    np.bitwise_or.at(bitmap, (probes >> np.uint64(6)).astype(int), np.uint64(1) << (probes & np.uint64(63)))
+    assert holds(bitmap, found).all()
+    others = word_hashes("fr", [f"x{i}".encode() for i in range(500)])
+    hit = [all(int(bitmap[p >> 6]) >> (p & 63) & 1 for p in collocations._probes(others[i : i + 1], 64 * 64).tolist()) for i in range(500)]
+    assert holds(bitmap, others).tolist() == hit

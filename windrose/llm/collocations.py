@@ -1,6 +1,7 @@
 """Phrases that are more frequent than their parts suggest, by dynamic itemset counting.
 
-Texts are dealt evenly over `shards` folders. Each step scans one shard, in a cycle, and counts in it
+Texts are dealt evenly over `shards` folders, as numbers of words with the chunk's distinct words and their hashes:
+texts are cut into words once, and every cycle reads the numbers. Each step scans one shard, in a cycle, and counts in it
 all phrases that are active, of whatever length: words during the first cycle, and a longer phrase from
 the step after both of its subphrases (without its last, without its first word) have reached `least`
 occurrences, for one full cycle. Steps end when no phrase is left whose cycle is not complete.
@@ -85,11 +86,19 @@ def _probes(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether a bit map of 64-bit words holds each hash."""
-    probes = _probes(hashes, len(bitmap) * 64)
-    found = (bitmap[probes >> np.uint64(6)] >> (probes & np.uint64(63))) & np.uint64(1)
-    return found.reshape(_PROBES, -1).all(axis=0)
-
-
+    last, found = np.uint64(len(bitmap) * 64 - 1), np.ones(len(hashes), bool)
+    at = slice(None)
+    for i in range(_PROBES):
+        some = hashes[at]
+        # Few are left after the first probe.
+        probes = (some + np.uint64(i) * ((some >> np.uint64(32)) | np.uint64(1)) if i else some) & last
+        words = bitmap[(probes >> np.uint64(6)).view(np.int64)]
+        found[at] = (words >> (probes & np.uint64(63))) & np.uint64(1)
+        at = np.flatnonzero(found)
+    return found
+
+
+_CODED = "lang string, shard int, carried int, count int, lengths binary, text binary, hashes binary, numbers binary"
 _POWERS = (np.cumprod(np.full(256, _MIX)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _BLOCK = "lang string, bucket int, fresh boolean, lengths binary, text binary, sizes binary, counts binary, last binary"
 _MERGED = f"{_BLOCK}, done array<string>, done_size array<int>, done_n array<long>, hit array<string>"
@@ -202,12 +211,24 @@ class _Counts:
         pa.default_memory_pool().release_unused()
 
 
-class Scanner:
-    """Counts the active phrases in the chunks of a language's texts."""
+@dataclass(frozen=True)
+class Coded:
+    """Words as numbers: 0 between pieces, else one more than the place in `terms`.
 
-    def __init__(self, lang: str, longest: int, words: bool, reached: np.ndarray, recent: np.ndarray) -> None:
-        self.lang, self.longest, self.words = lang, longest, words
-        self.reached, self.recent = reached, recent
+    The first `carried` words belong to the chunk before, and so do the last as many terms.
+    """
+
+    terms: pa.Array
+    hashes: np.ndarray
+    numbers: np.ndarray
+    carried: int
+
+
+class Coder:
+    """Numbers the words in the chunks of a language's texts."""
+
+    def __init__(self, lang: str, longest: int) -> None:
+        self.lang, self.longest = lang, longest
         self.tail: list[tuple[str, int]] = []
 
     def _with_tail(self, chunk: Words) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
@@ -219,37 +240,57 @@ class Scanner:
         pieces = np.concatenate([np.full(len(terms), chunk.pieces[0]), chunk.pieces])
         return pa.concat_arrays([chunk.terms, pa.array(terms, chunk.terms.type)]), ids, pieces, len(terms)
 
-    def counts(self, chunk: Words) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-        """(size, phrases, occurrences)"""
+    def coded(self, chunk: Words) -> Coded:
         terms, ids, pieces, carried = self._with_tail(chunk)
         last = ids[-(self.longest - 1) :]
         self.tail = list(zip(terms.take(pa.array(last)).to_pylist(), pieces[-len(last) :].tolist(), strict=True))
+        place = np.arange(len(ids))
+        place[1:] += np.cumsum(pieces[1:] != pieces[:-1])
+        numbers = np.zeros(place[-1] + 1, np.int64)
+        numbers[place] = ids + 1
+        return Coded(terms, word_hashes(self.lang, terms.cast(pa.large_binary()).to_pylist()), numbers, carried)
+
+
+class Scanner:
+    """Counts the active phrases in the chunks of a language's texts."""
+
+    def __init__(self, lang: str, longest: int, words: bool, reached: np.ndarray, recent: np.ndarray) -> None:
+        self.longest, self.words = longest, words
+        self.reached, self.recent = reached, recent
+        self.coder = Coder(lang, longest)
+
+    def counts(self, chunk: Words) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+        """(size, phrases, occurrences)"""
+        return self.coded_counts(self.coder.coded(chunk))
+
+    def coded_counts(self, coded: Coded) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+        """(size, phrases, occurrences)"""
+        terms, numbers, carried = coded.terms, coded.numbers, coded.carried
         if self.words:
-            n = np.bincount(chunk.ids, minlength=len(chunk.terms))
-            yield 0, pa.array([""], terms.type), np.array([len(chunk.ids)])
-            yield 1, chunk.terms, n
+            own = len(terms) - carried
+            n = np.bincount(numbers[carried:], minlength=len(terms) + 1)[1 : own + 1]
+            yield 0, pa.array([""], terms.type), np.array([n.sum()])
+            yield 1, terms[:own], n
         if not self.recent.any():
             return
-        hashes = word_hashes(self.lang, terms.cast(pa.large_binary()).to_pylist())
-        known, new = (found[ids] for found in self._states(hashes))
-        hashes = hashes[ids]
+        # The place between pieces is never reached, so no phrase crosses it.
+        known, new = (np.append(False, found) for found in self._states(coded.hashes))
+        hashes = np.append(np.uint64(0), coded.hashes)
+        # Where reached phrases of size - 1 words start, their hashes, and whether they were reached in the last cycle.
+        at = np.flatnonzero(known[numbers])
+        start, recent = hashes[numbers[at]], new[numbers[at]]
         for size in range(2, self.longest + 1):
-            # At i: whether the phrase of size - 1 words from i on has been reached, and in the last cycle.
-            both = known[:-1] & known[1:]
-            if size > 2:
-                both &= pieces[: len(both)] == pieces[size - 1 :]
-            else:
-                both &= pieces[:-1] == pieces[1:]
-            at = np.flatnonzero(both & (new[:-1] | new[1:]))
-            at = at[at + size > carried]
-            if len(at):
-                yield size, *self._phrases(terms, ids, at, size)
+            both = np.flatnonzero(at[1:] - at[:-1] == 1)
+            active = at[both[recent[both] | recent[both + 1]]]
+            active = active[active + size > carried]
+            if len(active):
+                yield size, *self._phrases(terms, numbers, active, size)
             if size == self.longest:
                 return
-            at = np.flatnonzero(both)
-            hashes_of = joined(*[hashes[at + i] for i in range(size)])
-            known, new = np.zeros(len(both), bool), np.zeros(len(both), bool)
-            known[at], new[at] = self._states(hashes_of)
+            at = at[both]
+            start = joined(start[both], hashes[numbers[at + size - 1]])
+            known, recent = self._states(start)
+            at, start, recent = at[known], start[known], recent[known]
 
     def _states(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which have been reached, and which of them in the last cycle."""
@@ -260,53 +301,91 @@ class Scanner:
         return known, new
 
     @staticmethod
-    def _phrases(terms: pa.Array, ids: np.ndarray, at: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
+    def _phrases(terms: pa.Array, numbers: np.ndarray, at: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
         """Distinct phrases at places, and how often."""
-        number = ids[at]
-        for i in range(1, size):
-            if i > 1:
-                number = np.unique(number, return_inverse=True)[1]
-            number = number * len(terms) + ids[at + i]
-        if size == 2:
-            keys, n = np.unique(number, return_counts=True)
-            parts = np.divmod(keys, len(terms))
+        bits = len(terms).bit_length()
+        if bits * size <= 64:
+            keys = numbers[at].view(np.uint64)
+            for i in range(1, size):
+                keys = keys << np.uint64(bits) | numbers[at + i].view(np.uint64)
+            keys, n = np.unique(keys, return_counts=True)
+            low = np.uint64((1 << bits) - 1)
+            parts = [(keys >> np.uint64(bits * (size - 1 - i)) & low).view(np.int64) for i in range(size)]
         else:
+            number = numbers[at]
+            for i in range(1, size):
+                if i > 1:
+                    number = np.unique(number, return_inverse=True)[1]
+                number = number * (len(terms) + 1) + numbers[at + i]
             _, first, n = np.unique(number, return_index=True, return_counts=True)
-            parts = [ids[at[first] + i] for i in range(size)]
-        words = [terms.take(pa.array(p)) for p in parts]
+            parts = [numbers[at[first] + i] for i in range(size)]
+        words = [terms.take(pa.array(p - 1)) for p in parts]
         return pc.binary_join_element_wise(*words, pa.scalar(" ", terms.type)), n
 
 
-def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows in tables of some `_READ_BYTES`."""
+def _larger(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """The rows in tables of some `least` bytes."""
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
-        if size >= _READ_BYTES:
+        if size >= least:
             yield pa.Table.from_batches(held)
             held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
 
 
-def _scan(texts: DataFrame, how: Mining, buckets: int, words: bool, reached: np.ndarray, recent: np.ndarray) -> DataFrame:
+def _coded(texts: DataFrame, how: Mining) -> DataFrame:
+    """Rows of `_CODED` from (lang, text, shard): the words of chunks of a shard's texts of one language."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _arrow_schema(_CODED)
+        for batch in _larger(batches, _READ_BYTES * how.shards):
+            langs = batch.column("lang").combine_chunks().dictionary_encode()
+            for shard in range(how.shards):
+                dealt = pc.equal(batch.column("shard").combine_chunks(), shard)
+                for number, lang in enumerate(langs.dictionary.to_pylist()):
+                    mine = batch.column("text").filter(pc.and_(dealt, pc.equal(langs.indices, number))).combine_chunks()
+                    coder = Coder(lang, how.longest)
+                    for chunk in word_chunks(mine, PIECES, _CHUNK):
+                        yield pa.RecordBatch.from_pylist([_coded_row(lang, shard, coder.coded(chunk))], schema)
+
+    return texts.mapInArrow(code, _CODED)
+
+
+def _coded_row(lang: str, shard: int, coded: Coded) -> dict:
+    offsets, data = _spelled(coded.terms)
+    return {
+        "lang": lang,
+        "shard": shard,
+        "carried": coded.carried,
+        "count": len(coded.numbers),
+        "lengths": np.diff(offsets).astype(np.uint32).tobytes(),
+        "text": data.tobytes(),
+        "hashes": coded.hashes.tobytes(),
+        "numbers": _narrow(coded.numbers),
+    }
+
+
+def _decoded(row: dict) -> Coded:
+    terms = _strings(np.frombuffer(row["lengths"], np.uint32), row["text"])
+    return Coded(terms, np.frombuffer(row["hashes"], np.uint64), _wide_again(row["numbers"], row["count"]), row["carried"])
+
+
+def _scan(coded: DataFrame, how: Mining, buckets: int, words: bool, reached: np.ndarray, recent: np.ndarray) -> DataFrame:
     """Blocks of the active phrases and their counts, a phrase in several of its bucket's."""
-    sent = texts.sparkSession.sparkContext.broadcast((reached, recent))
+    sent = coded.sparkSession.sparkContext.broadcast((reached, recent))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _Counts(buckets)
-        for batch in _larger(batches):
-            langs = batch.column("lang").combine_chunks().dictionary_encode()
-            for number, lang in enumerate(langs.dictionary.to_pylist()):
-                mine = batch.column("text").filter(pc.equal(langs.indices, number)).combine_chunks()
-                scanner = Scanner(lang, how.longest, words, *sent.value)
-                for chunk in word_chunks(mine, PIECES, _CHUNK):
-                    for size, phrases, n in scanner.counts(chunk):
-                        yield from counts.add(lang, size, phrases, n)
+        for row in _blocks(batches):
+            scanner = Scanner(row["lang"], how.longest, words, *sent.value)
+            for size, phrases, n in scanner.coded_counts(_decoded(row)):
+                yield from counts.add(row["lang"], size, phrases, n)
         yield from counts.drain()
 
-    return texts.mapInArrow(scan, _BLOCK)
+    return coded.mapInArrow(scan, _BLOCK)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -396,22 +475,32 @@ def _counted(state: DataFrame, how: Mining) -> DataFrame:
     return state.mapInArrow(opened, "lang string, size int, phrase string, n long")
 
 
+def _phrase_hashes(lang: str, phrases: pa.Array) -> Iterator[np.ndarray]:
+    """The hashes of phrases, those of one size together."""
+    words = pc.split_pattern(phrases, " ")
+    coded = words.flatten().dictionary_encode()
+    hashes = word_hashes(lang, [w.encode() for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+    sizes = pc.list_value_length(words).to_numpy()
+    first = np.cumsum(sizes) - sizes
+    for size in np.unique(sizes):
+        at = first[sizes == size]
+        yield joined(*[hashes[at + i] for i in range(size)])
+
+
 def _marked(phrases: DataFrame, how: Mining) -> np.ndarray:
     """A bit map of (lang, phrase) rows; its words that have bits come to the driver."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
-                hashes = word_hashes(lang, phrase.encode().split(b" "))
-                probes = _probes(joined(*[hashes[i : i + 1] for i in range(len(hashes))]), how.bits)
-                found.append(probes)
-            probes = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-            found.clear()
+            found = [np.zeros(0, np.uint64)]
+            langs = batch.column("lang").dictionary_encode()
+            for number, lang in enumerate(langs.dictionary.to_pylist()):
+                found += _phrase_hashes(lang, batch.column("phrase").filter(pc.equal(langs.indices, number)))
+            probes = np.unique(_probes(np.concatenate(found), how.bits))
             slot, start = np.unique(probes >> np.uint64(6), return_index=True)
             bits = np.bitwise_or.reduceat(np.uint64(1) << (probes & np.uint64(63)), start) if len(slot) else probes
             yield pa.RecordBatch.from_pydict({"slot": slot.astype(np.int64), "bits": bits.view(np.int64)})
 
-    found: list[np.ndarray] = []
     marks = phrases.mapInArrow(mark, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bitmap = np.zeros(how.bits // 64, np.uint64)
     bitmap[marks["slot"].to_numpy()] = marks["bits"].to_numpy().view(np.uint64)
@@ -430,8 +519,9 @@ def frequent_phrases(docs: DataFrame, how: Mining = PRODUCTION) -> DataFrame:
         F.pmod(F.monotonically_increasing_id(), F.lit(how.shards)).cast("int").alias("shard"),
     )
     shards = new_path(spark, "phrase-shards")
-    texts.write.partitionBy("shard").parquet(shards)
-    whole = spark.read.schema(texts.schema).parquet(shards)
+    coded = _coded(texts, how)
+    coded.write.partitionBy("shard").parquet(shards)
+    whole = spark.read.schema(coded.schema).parquet(shards)
 
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(max(1, -(-size // _BUCKET_BYTES)), 1 << 20)
